@@ -2,28 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 
 def conform(df: DataFrame, schema: StructType, lenient: bool = False) -> DataFrame:
     """The declared columns, in order, cast to their types, with their metadata.
 
     A value that does not fit its type fails the job; ``lenient`` turns it into NULL instead.
+    Whether required values are present is a check on the rows, see ``missing_required``.
     """
-    missing = [field.name for field in schema.fields if field.name not in df.columns]
-    if missing:
-        raise ValueError(f"columns missing from the input: {missing}")
-    have = df.schema
-
-    def typed(field) -> Column:
-        column = F.col(field.name)
-        if have[field.name].dataType != field.dataType:
-            column = column.try_cast(field.dataType) if lenient else column.cast(field.dataType)
-        return column.alias(field.name, metadata=field.metadata)
-
-    return df.select(*[typed(field) for field in schema.fields])
+    cast = "TRY_CAST" if lenient else "CAST"
+    typed = df.selectExpr(
+        *[f"{cast}(`{field.name}` AS {field.dataType.simpleString()}) AS `{field.name}`" for field in schema.fields]
+    )
+    described = [StructField(field.name, field.dataType, True, field.metadata) for field in schema.fields]
+    return typed.to(StructType(described))
 
 
 def required_columns(schema: StructType) -> list[str]:

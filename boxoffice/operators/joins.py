@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A table is broadcast only after its rows were counted and found within this bound.
@@ -25,32 +25,24 @@ class Dimension:
     df: DataFrame
     small: bool
 
-    def select(self, *columns: Column | str) -> Dimension:
-        return Dimension(self.df.select(*columns), self.small)
-
 
 def dimension(df: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> Dimension:
     """Counts the table: for a stored one that reads file footers only."""
     return Dimension(df, df.count() <= broadcast_rows)
 
 
-def lookup(
-    facts: DataFrame, table: Dimension, key: str, how: str, table_key: str | None = None, hot_keys: bool = True
-) -> DataFrame:
+def lookup(facts: DataFrame, table: Dimension, key: str, how: str, table_key: str | None = None) -> DataFrame:
     """``facts`` joined to the ``table`` row of their key; ``how`` is inner, left, left_semi or left_anti.
 
     A small table is broadcast and the facts stay where they are. Otherwise both sides shuffle,
-    and facts of hot keys are salted. ``hot_keys=False`` is for facts already aggregated by the
-    key: none can be hot beyond what adaptive execution splits, and finding hot keys would
-    compute the aggregate twice. The table's key is kept under ``table_key`` if that is given.
+    and facts of hot keys are salted. The table's key is kept under ``table_key`` if that is
+    given. Rows already aggregated by the key need none of this; a plain join serves them.
     """
     right = table.df.withColumnRenamed(table_key or key, _KEY)
     if table.small:
         joined = facts.join(F.broadcast(right), F.col(key) == F.col(_KEY), how)
-    elif hot_keys:
-        joined = _salted_lookup(facts, right, key, how)
     else:
-        joined = facts.join(right, F.col(key) == F.col(_KEY), how)
+        joined = _salted_lookup(facts, right, key, how)
     if _KEY not in joined.columns:
         return joined
     return joined.withColumnRenamed(_KEY, table_key) if table_key else joined.drop(_KEY)

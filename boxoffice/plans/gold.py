@@ -14,11 +14,11 @@ from boxoffice.functions.dates import days_between, year_month
 from boxoffice.functions.keys import surrogate_key
 from boxoffice.functions.money import average_cents, dollars, percent, percent_label
 from boxoffice.functions.text import upper_code
-from boxoffice.operators.joins import Dimension, dimension, lookup
+from boxoffice.operators.joins import dimension, lookup
 from boxoffice.operators.kpi import BOOKED, CANCELLED, REFUNDED, count_status, in_status, usd_cents, valued
 from boxoffice.operators.ranking import top_k_per_group
 from boxoffice.operators.share import share_of_total
-from boxoffice.plans.silver import SilverTables
+from boxoffice.tables import Tables
 
 # Channel types reported side by side.
 SPLIT_TYPES = ("DIRECT", "PARTNER", "VENDOR")
@@ -27,12 +27,12 @@ MONTH = "year_month"
 REGION_MONTH = ["platform_region", MONTH]
 
 
-def _of_known_events(tickets: DataFrame, silver: SilverTables) -> DataFrame:
+def _of_known_events(tickets: DataFrame, silver: Tables) -> DataFrame:
     """Tickets whose event exists; no event column is needed, so this is an existence test."""
-    return lookup(tickets, dimension(silver.events).select("event_id"), "event_id", "left_semi")
+    return lookup(tickets, dimension(silver.events.select("event_id")), "event_id", "left_semi")
 
 
-def _platform_names(silver: SilverTables, *columns: str) -> DataFrame:
+def _platform_names(silver: Tables, *columns: str) -> DataFrame:
     """Platforms by the name tickets carry, compared in one case."""
     return silver.platforms.select(upper_code(F.col("platform_name")).alias("platform_source"), *columns)
 
@@ -42,9 +42,9 @@ def _or_zero(value: Column, matched: Column) -> Column:
     return F.when(matched.isNull(), F.lit(0).cast("bigint")).otherwise(value)
 
 
-def ticket_sales_daily(silver: SilverTables) -> DataFrame:
+def ticket_sales_daily(silver: Tables) -> DataFrame:
     """Event x day x platform x channel. Closed channels share one row with no channel."""
-    channels = dimension(silver.channels.select("channel_id", "channel_name", "channel_type"))
+    channels = silver.channels.select("channel_id", "channel_name", "channel_type")
     sold = silver.tickets.select(
         F.col("purchase_date").alias("sale_date"),
         "event_id",
@@ -54,7 +54,7 @@ def ticket_sales_daily(silver: SilverTables) -> DataFrame:
         "ticket_status",
         "face_value_usd",
     )
-    sold = lookup(sold, channels.select("channel_id"), "sold_through", "left", table_key="channel_id")
+    sold = lookup(sold, dimension(channels.select("channel_id")), "sold_through", "left", table_key="channel_id")
     measured = sold.groupBy("sale_date", "event_id", "platform_source", "channel_id").agg(
         count_status(BOOKED).alias("tickets_sold"),
         count_status(CANCELLED).alias("tickets_cancelled"),
@@ -65,9 +65,8 @@ def ticket_sales_daily(silver: SilverTables) -> DataFrame:
         F.count_distinct("customer_id").alias("unique_customers"),
     )
     events = silver.events.select("event_id", "event_name", "event_category", "venue_country")
-    homes = dimension(_platform_names(silver, "platform_id", "platform_name", "platform_region"))
-    placed = lookup(measured.join(events, "event_id"), homes, "platform_source", "inner", hot_keys=False)
-    described = lookup(placed, channels, "channel_id", "left", hot_keys=False)
+    platforms = _platform_names(silver, "platform_id", "platform_name", "platform_region")
+    described = measured.join(events, "event_id").join(platforms, "platform_source").join(channels, "channel_id", "left")
     return described.select(
         "sale_date",
         "event_id",
@@ -96,7 +95,7 @@ def ticket_sales_daily(silver: SilverTables) -> DataFrame:
     )
 
 
-def event_performance(silver: SilverTables) -> DataFrame:
+def event_performance(silver: Tables) -> DataFrame:
     per_event = silver.tickets.groupBy("event_id").agg(
         F.count("ticket_id").alias("total"),
         count_status(BOOKED).alias("booked"),
@@ -134,18 +133,17 @@ def event_performance(silver: SilverTables) -> DataFrame:
     )
 
 
-def preferred_channel(silver: SilverTables) -> DataFrame:
+def preferred_channel(silver: Tables) -> DataFrame:
     """The active channel through which a customer booked most tickets; ties go to the lowest id."""
     booked = silver.tickets.where(in_status(BOOKED)).groupBy("customer_id", "channel_id").agg(
         F.count("*").alias("booked")
     )
-    channels = dimension(silver.channels.select("channel_id", "channel_name"))
-    named = lookup(booked, channels, "channel_id", "inner", hot_keys=False)
+    named = booked.join(silver.channels.select("channel_id", "channel_name"), "channel_id")
     best = top_k_per_group(named, ["customer_id"], [F.desc("booked"), F.asc("channel_id")])
     return best.select("customer_id", F.col("channel_name").alias("preferred_channel"))
 
 
-def customer_behaviour(silver: SilverTables, as_of: Column) -> DataFrame:
+def customer_behaviour(silver: Tables, as_of: Column) -> DataFrame:
     per_customer = silver.tickets.groupBy("customer_id").agg(
         F.count("ticket_id").alias("total"),
         count_status(BOOKED).alias("booked"),
@@ -184,8 +182,12 @@ def customer_behaviour(silver: SilverTables, as_of: Column) -> DataFrame:
     )
 
 
-def _placed_tickets(silver: SilverTables) -> DataFrame:
-    """Tickets of known events with their platform's region and the month of sale."""
+def _placed_tickets(silver: Tables) -> DataFrame:
+    """Tickets of known events with their platform's region and the month of sale.
+
+    Spark broadcasts the platforms while their files are small. If it does not, adaptive
+    execution splits a large platform, as every aggregate that follows shuffles by other keys.
+    """
     sold = silver.tickets.select(
         "event_id",
         "customer_id",
@@ -195,11 +197,10 @@ def _placed_tickets(silver: SilverTables) -> DataFrame:
         "face_value_usd",
         year_month(F.col("purchase_date")).alias(MONTH),
     )
-    homes = dimension(_platform_names(silver, "platform_region"))
-    return lookup(_of_known_events(sold, silver), homes, "platform_source", "inner")
+    return _of_known_events(sold, silver).join(_platform_names(silver, "platform_region"), "platform_source")
 
 
-def channel_sales_by_region(silver: SilverTables, placed: DataFrame | None = None) -> DataFrame:
+def channel_sales_by_region(silver: Tables, placed: DataFrame | None = None) -> DataFrame:
     """Region x month x channel, with the channel's name and type where it is active."""
     placed = _placed_tickets(silver) if placed is None else placed
     sums = placed.groupBy(*REGION_MONTH, F.col("channel_id").alias("sold_through")).agg(
@@ -208,8 +209,8 @@ def channel_sales_by_region(silver: SilverTables, placed: DataFrame | None = Non
         count_status(REFUNDED).alias("refunded"),
         usd_cents(BOOKED).alias("booked_cents"),
     )
-    channels = dimension(silver.channels.select("channel_id", "channel_name", "channel_type"))
-    return lookup(sums, channels, "sold_through", "left", table_key="channel_id", hot_keys=False)
+    channels = silver.channels.select("channel_id", "channel_name", "channel_type")
+    return sums.join(channels, F.col("sold_through") == F.col("channel_id"), "left")
 
 
 def top_channel(by_channel: DataFrame) -> DataFrame:
@@ -220,7 +221,7 @@ def top_channel(by_channel: DataFrame) -> DataFrame:
     return best.select(*REGION_MONTH, F.col("channel_name").alias("top_channel_by_revenue"), "revenue_cents")
 
 
-def regional_summary(silver: SilverTables) -> DataFrame:
+def regional_summary(silver: Tables) -> DataFrame:
     """Region x month.
 
     Everything but the two distinct counts comes from the small region x month x channel table,
@@ -274,7 +275,7 @@ def regional_summary(silver: SilverTables) -> DataFrame:
     )
 
 
-def channel_performance(silver: SilverTables) -> DataFrame:
+def channel_performance(silver: Tables) -> DataFrame:
     """Channel x month, active channels only; the share is of the revenue of those channels."""
     sold = silver.tickets.select(
         year_month(F.col("purchase_date")).alias(MONTH),
@@ -298,11 +299,10 @@ def channel_performance(silver: SilverTables) -> DataFrame:
             F.count_distinct("event_id").alias("unique_events"),
         )
     )
-    channels = dimension(silver.channels.select("channel_id", "channel_name", "channel_type", "platform_id"))
-    platforms = dimension(silver.platforms.select("platform_id", "platform_name", "platform_region"))
-    attributed = lookup(monthly, channels, "channel_id", "inner", hot_keys=False)
-    attributed = lookup(attributed, platforms, "platform_id", "inner", hot_keys=False)
-    shared = share_of_total(attributed, [MONTH], "booked_cents", "channel_revenue_share_pct")
+    channels = silver.channels.select("channel_id", "channel_name", "channel_type", "platform_id")
+    platforms = silver.platforms.select("platform_id", "platform_name", "platform_region")
+    attributed = monthly.join(channels, "channel_id").join(platforms, "platform_id")
+    shared = share_of_total(attributed, [MONTH], "booked_cents", "channel_revenue_share_pct", few_groups=True)
     return shared.select(
         MONTH,
         "channel_id",

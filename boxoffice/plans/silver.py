@@ -7,8 +7,6 @@ before the filter, so a bad one hides an older good one.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,22 +15,13 @@ from boxoffice.functions.money import MONEY, RATE, to_usd
 from boxoffice.functions.text import lower_code, title_case, upper_code
 from boxoffice.operators.dedup import any_per_key, latest_per_key
 from boxoffice.schemas import TABLES
-from boxoffice.sources.raw import RawTables
+from boxoffice.tables import Tables
 
 HOME_CURRENCY = "USD"
 ARRIVED = "ingested_at"
 LOADED_AT = "_loaded_at"
 
 
-@dataclass(frozen=True)
-class SilverTables:
-    tickets: DataFrame
-    events: DataFrame
-    customers: DataFrame
-    channels: DataFrame
-    platforms: DataFrame
-
-
 def shape_events(raw: DataFrame) -> DataFrame:
     return raw.select(
         "event_id",
@@ -157,11 +146,13 @@ def table_of(shaped: DataFrame, name: str) -> DataFrame:
     return newest(shaped, name).where(is_published(name))
 
 
-def build_silver(raw: RawTables, seed: DataFrame, as_of: Column) -> SilverTables:
-    return SilverTables(
-        tickets=table_of(shape_tickets(raw.tickets, current_rates(seed)), "tickets"),
-        events=table_of(shape_events(raw.events), "events"),
-        customers=table_of(shape_customers(raw.customers), "customers"),
-        channels=table_of(shape_channels(raw.channels, as_of), "channels"),
-        platforms=table_of(shape_platforms(raw.platforms), "platforms"),
+def build_silver(raw: Tables, seed: DataFrame, as_of: Column) -> Tables:
+    return Tables(
+        {
+            "tickets": lambda: table_of(shape_tickets(raw.tickets, current_rates(seed)), "tickets"),
+            "events": lambda: table_of(shape_events(raw.events), "events"),
+            "customers": lambda: table_of(shape_customers(raw.customers), "customers"),
+            "channels": lambda: table_of(shape_channels(raw.channels, as_of), "channels"),
+            "platforms": lambda: table_of(shape_platforms(raw.platforms), "platforms"),
+        }
     )

@@ -28,6 +28,7 @@ from boxoffice.sources import star_schema
 from boxoffice.sources.seeds import read_rates
 from boxoffice.sources.store import LayerStore
 from boxoffice.streaming.streams import dedup_exact, file_stream, stream_upsert
+from boxoffice.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,13 +70,12 @@ def _raw(spark: SparkSession, folder: str):
     return star_schema.raw_from_star(spark, folder)
 
 
-def _silver(spark: SparkSession, folder: str) -> silver.SilverTables:
+def _silver(spark: SparkSession, folder: str) -> Tables:
     return silver.build_silver(_raw(spark, folder), read_rates(spark), as_day(AS_OF))
 
 
 def _sold(spark: SparkSession, folder: str) -> DataFrame:
-    shaped = silver.shape_tickets(star_schema.raw_tickets(spark, folder), silver.current_rates(read_rates(spark)))
-    return silver.table_of(shaped, "tickets")
+    return _silver(spark, folder).tickets
 
 
 # Sources, projections and scalar functions
@@ -198,12 +198,12 @@ def currency_normalise(spark, folder):
 
 @query
 def silver_events(spark, folder):
-    return silver.table_of(silver.shape_events(star_schema.raw_events(spark, folder)), "events")
+    return _silver(spark, folder).events
 
 
 @query
 def silver_customers(spark, folder):
-    return silver.table_of(silver.shape_customers(star_schema.raw_customers(spark, folder)), "customers")
+    return _silver(spark, folder).customers
 
 
 @query
@@ -213,13 +213,12 @@ def silver_tickets(spark, folder):
 
 @query
 def silver_platforms(spark, folder):
-    return silver.table_of(silver.shape_platforms(star_schema.raw_platforms(spark, folder)), "platforms")
+    return _silver(spark, folder).platforms
 
 
 @query
 def silver_channels(spark, folder):
-    shaped = silver.shape_channels(star_schema.raw_channels(spark, folder), as_day(AS_OF))
-    return silver.table_of(shaped, "channels")
+    return _silver(spark, folder).channels
 
 
 # Joins
@@ -299,7 +298,7 @@ def revenue_share(spark, folder):
         .groupBy(year_month(F.col("purchase_date")).alias("year_month"), "channel_id")
         .agg(kpi.usd_cents(kpi.BOOKED).alias("booked_cents"))
     )
-    shared = share_of_total(revenue, ["year_month"], "booked_cents", "share_pct")
+    shared = share_of_total(revenue, ["year_month"], "booked_cents", "share_pct", few_groups=True)
     return shared.select("year_month", "channel_id", dollars(F.col("booked_cents")).alias("revenue_usd"), "share_pct")
 
 
@@ -432,7 +431,7 @@ def monthly_share_totals(spark, folder):
 
 @query
 def check_report_raw(spark, folder):
-    return check_layer("raw", _raw(spark, folder).named())
+    return check_layer("raw", _raw(spark, folder))
 
 
 # Late data, upserts, sinks, streams

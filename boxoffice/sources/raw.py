@@ -2,30 +2,20 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 from boxoffice.operators.conform import conform
 from boxoffice.schemas import RAW
+from boxoffice.tables import Tables
 
 
-@dataclass(frozen=True)
-class RawTables:
-    """The five raw inputs; a record appears once per arrival, so keys repeat."""
-
-    tickets: DataFrame
-    events: DataFrame
-    customers: DataFrame
-    channels: DataFrame
-    platforms: DataFrame
+def read_raw(spark: SparkSession, folder: str) -> Tables:
+    """Parquet folders ``<folder>/<table>``, read with the declared schemas (nothing is inferred).
 
-    def named(self) -> dict[str, DataFrame]:
-        return {field.name: getattr(self, field.name) for field in fields(self)}
+    A record appears once per arrival, so keys repeat.
+    """
 
+    def reader(name: str):
+        return lambda: conform(spark.read.schema(RAW[name]).parquet(f"{folder}/{name}"), RAW[name])
 
-def read_raw(spark: SparkSession, folder: str) -> RawTables:
-    """Parquet folders ``<folder>/<table>``, read with the declared schemas (nothing is inferred)."""
-    return RawTables(
-        **{name: conform(spark.read.schema(schema).parquet(f"{folder}/{name}"), schema) for name, schema in RAW.items()}
-    )
+    return Tables({name: reader(name) for name in RAW})

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from boxoffice.operators.conform import conform
 from boxoffice.schemas import RAW
-from boxoffice.sources.raw import RawTables
+from boxoffice.tables import Tables
 
 # What the star schema's codes stand for.
 CURRENCIES = (
@@ -182,11 +182,13 @@ def raw_platforms(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def raw_from_star(spark: SparkSession, folder: str) -> RawTables:
-    return RawTables(
-        tickets=raw_tickets(spark, folder),
-        events=raw_events(spark, folder),
-        customers=raw_customers(spark, folder),
-        channels=raw_channels(spark, folder),
-        platforms=raw_platforms(spark, folder),
+def raw_from_star(spark: SparkSession, folder: str) -> Tables:
+    return Tables(
+        {
+            "tickets": lambda: raw_tickets(spark, folder),
+            "events": lambda: raw_events(spark, folder),
+            "customers": lambda: raw_customers(spark, folder),
+            "channels": lambda: raw_channels(spark, folder),
+            "platforms": lambda: raw_platforms(spark, folder),
+        }
     )
