@@ -1,0 +1,165 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from boxoffice.operators import joins, quality
+from boxoffice.operators.conform import missing_required
+from boxoffice.operators.dedup import any_per_key, latest_per_key
+from boxoffice.operators.merge import high_water_mark, lookback, merge_literal, upsert_by_key
+from boxoffice.operators.ranking import mode_per_group, top_k_per_group
+from boxoffice.operators.share import share_of_total
+from boxoffice.schemas import RAW
+from conftest import at, frame, rows_of, ticket
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_latest_version_wins_and_ties_are_total(spark):
+    rows = [("a", 1, "x"), ("a", 2, "z"), ("a", 2, "y"), ("b", None, "q"), ("b", 1, "p")]
+    df = spark.createDataFrame(rows, "k string, v int, w string")
+    expected = [("a", 2, "y"), ("b", 1, "p")]
+    for seed in range(3):
+        shuffled = df.orderBy(F.rand(seed)).repartition(3)
+        assert rows_of(latest_per_key(shuffled, ["k"], "v")) == expected
+    once = latest_per_key(df, ["k"], "v")
+    assert rows_of(latest_per_key(once, ["k"], "v")) == expected
+
+
+def test_audit_column_only_breaks_equal_rows(spark):
+    df = spark.createDataFrame([("a", 1, "y", 5), ("a", 1, "y", 7), ("a", 1, "z", 9)], "k string, v int, w string, l int")
+    assert rows_of(latest_per_key(df, ["k"], "v", audit="l")) == [("a", 1, "y", 7)]
+
+
+def test_any_per_key_is_fixed(spark):
+    df = spark.createDataFrame([("a", 2), ("a", 1), ("b", None)], "k string, v int")
+    assert rows_of(any_per_key(df, ["k"])) == [("a", 1), ("b", None)]
+    assert rows_of(any_per_key(df.select("k"), ["k"])) == [("a",), ("b",)]
+
+
+def test_dedup_keeps_one_row_per_key_before_the_shuffle(spark):
+    df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
+    assert plan_of(latest_per_key(df, ["k"], "v")).count("WindowGroupLimit") == 2
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_salted_lookup_equals_plain_join(spark, how):
+    """A third of the rows share one key, some keys are NULL or unknown."""
+    facts = spark.range(3000).select(
+        F.col("id").alias("row"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot"))
+        .when(F.col("id") % 10 == 1, F.lit(None))
+        .otherwise(F.concat(F.lit("k"), (F.col("id") % 400).cast("string")))
+        .alias("k"),
+    )
+    names = [("hot", "H")] + [(f"k{i}", f"N{i}") for i in range(0, 400, 2)]
+    table = spark.createDataFrame(names, "k string, name string")
+    plain = rows_of(facts.join(table, "k", how).select("row", *(["name"] if how in ("inner", "left") else [])))
+    for rows in (0, 1000):
+        found = joins.lookup(facts, joins.dimension(table, rows), "k", how)
+        assert rows_of(found.select("row", *(["name"] if how in ("inner", "left") else []))) == plain
+
+
+def test_lookup_broadcasts_only_below_the_bound(spark):
+    facts = spark.range(100).select(F.col("id").alias("k"))
+    table = spark.range(50).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    small = joins.lookup(facts, joins.dimension(table, 50), "k", "inner")
+    large = joins.lookup(facts, joins.dimension(table, 49), "k", "inner")
+    assert "BroadcastHashJoin [k" in plan_of(small)
+    assert "__salt" not in plan_of(small)
+    assert "__salt" in plan_of(large)
+
+
+def test_orphans(spark):
+    child = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, "b")], "id int, fk string")
+    parent = spark.createDataFrame([("a",), ("a",), (None,)], "pk string")
+    assert rows_of(joins.orphans(child, "fk", parent, "pk"), "id") == [(2,), (4,)]
+    assert rows_of(joins.orphan_counts(child, "fk", parent, "pk")) == [("b", 2)]
+
+
+def test_top_k_and_mode(spark):
+    df = spark.createDataFrame(
+        [("g", "x", 1), ("g", "y", 3), ("g", "z", 3), ("h", "x", None)], "g string, v string, n int"
+    )
+    assert rows_of(top_k_per_group(df, ["g"], [F.desc_nulls_last("n"), F.asc("v")], 2)) == [
+        ("g", "y", 3),
+        ("g", "z", 3),
+        ("h", "x", None),
+    ]
+    values = spark.createDataFrame([("g", "b"), ("g", "a"), ("g", None), ("g", None), ("h", None)], "g string, v string")
+    assert rows_of(mode_per_group(values, ["g"], "v")) == [("g", "a", 1)]
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_share_of_total(spark, few):
+    df = spark.createDataFrame([("m", "a", 1), ("m", "b", 2), ("z", "a", 0)], "m string, c string, n bigint")
+    shared = share_of_total(df, ["m"], "n", "share", few_groups=few)
+    assert rows_of(shared, "m", "c", "share") == [("m", "a", 33.3333), ("m", "b", 66.6667), ("z", "a", None)]
+
+
+def test_lookback_includes_its_boundary(spark):
+    df = frame(
+        spark,
+        "tickets",
+        [
+            ticket("new", ingested_at=at(10)),
+            ticket("edge", ingested_at=at(7)),
+            ticket("late", ingested_at=at(6, 23)),
+        ],
+    )
+    mark = high_water_mark(df, "ingested_at")
+    assert rows_of(lookback(df, "ingested_at", mark), "ticket_id") == [("edge",), ("new",)]
+    assert high_water_mark(df.limit(0), "ingested_at") is None
+    assert lookback(df, "ingested_at", None).count() == 3
+
+
+def test_upsert_is_idempotent_and_order_free(spark):
+    old = spark.createDataFrame([("a", 1, "old"), ("b", 5, "kept")], "k string, v int, w string")
+    new = spark.createDataFrame([("a", 2, "new"), ("b", 4, "stale"), ("c", 1, "added")], "k string, v int, w string")
+    expected = [("a", 2, "new"), ("b", 5, "kept"), ("c", 1, "added")]
+    once = upsert_by_key(old, new, ["k"], "v")
+    assert rows_of(once) == expected
+    assert rows_of(upsert_by_key(once, new, ["k"], "v")) == expected
+    assert rows_of(upsert_by_key(new, old, ["k"], "v")) == expected
+    assert rows_of(merge_literal(old, new, ["k"])) == [("a", 2, "new"), ("b", 4, "stale"), ("c", 1, "added")]
+
+
+def test_checks_return_offenders(spark):
+    df = spark.createDataFrame(
+        [("a", "booked"), ("a", "odd"), (None, None), ("b", "Booked")], "k string, status string"
+    )
+    assert rows_of(quality.not_null(df, "k")) == [(None, None)]
+    assert rows_of(quality.unique(df, "k")) == [("a", 2)]
+    assert rows_of(quality.accepted_values(df, "status", ["booked"])) == [("a", "odd"), ("b", "Booked")]
+    counts = quality.scan_counts("t", df, ["k", "status"], {"status": ["booked"]})
+    assert rows_of(counts) == [
+        ("t", "accepted_values", "status", 2),
+        ("t", "not_null", "k", 1),
+        ("t", "not_null", "status", 1),
+    ]
+    assert rows_of(quality.unique_count("t", df, "k")) == [("t", "unique", "k", 1)]
+
+
+def test_assertions(spark):
+    tickets = spark.createDataFrame(
+        [("t1", -1.0, "booked"), ("t2", -1.0, "refunded"), ("t3", 1.0, "booked"), ("t4", None, "booked")],
+        "ticket_id string, face_value_usd double, ticket_status string",
+    ).withColumn("purchase_date", F.lit(dt.date(2024, 1, 1)))
+    assert rows_of(quality.revenue_non_negative(tickets), "ticket_id") == [("t1",)]
+    events = spark.createDataFrame(
+        [("e1", 150.0, 2), ("e2", 100.0, 3), ("e3", None, 0), ("e4", None, None)],
+        "event_id string, sell_through_rate_pct double, event_capacity bigint",
+    ).select("*", F.lit("n").alias("event_name"), F.lit(3).alias("tickets_sold"))
+    assert rows_of(quality.sell_through_within_capacity(events), "event_id") == [("e1",)]
+    shares = spark.createDataFrame(
+        [("ok", 99.95), ("ok", 0.05), ("low", 99.8), ("edge", 99.9), ("none", None)],
+        "year_month string, channel_revenue_share_pct double",
+    )
+    assert rows_of(quality.shares_sum_to_100(shares)) == [("low", 99.8)]
+
+
+def test_required_values(spark):
+    df = frame(spark, "tickets", [ticket("t1"), ticket("t2", channel_id=None), ticket("t3", currency=None)])
+    assert rows_of(missing_required(df, RAW["tickets"]), "ticket_id") == [("t2",)]
