@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StructType
 
 
 def conform(df: DataFrame, schema: StructType, lenient: bool = False) -> DataFrame:
@@ -14,11 +14,14 @@ def conform(df: DataFrame, schema: StructType, lenient: bool = False) -> DataFra
     Whether required values are present is a check on the rows, see ``missing_required``.
     """
     cast = "TRY_CAST" if lenient else "CAST"
-    typed = df.selectExpr(
-        *[f"{cast}(`{field.name}` AS {field.dataType.simpleString()}) AS `{field.name}`" for field in schema.fields]
+    return df.select(
+        *[
+            F.expr(f"{cast}(`{field.name}` AS {field.dataType.simpleString()})").alias(
+                field.name, metadata=field.metadata
+            )
+            for field in schema.fields
+        ]
     )
-    described = [StructField(field.name, field.dataType, True, field.metadata) for field in schema.fields]
-    return typed.to(StructType(described))
 
 
 def required_columns(schema: StructType) -> list[str]:
