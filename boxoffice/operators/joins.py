@@ -25,6 +25,9 @@ class Dimension:
     df: DataFrame
     small: bool
 
+    def select(self, *columns: str) -> Dimension:
+        return Dimension(self.df.select(*columns), self.small)
+
 
 def dimension(df: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> Dimension:
     """Counts the table: for a stored one that reads file footers only."""
@@ -36,7 +39,7 @@ def lookup(facts: DataFrame, table: Dimension, key: str, how: str, table_key: st
 
     A small table is broadcast and the facts stay where they are. Otherwise both sides shuffle,
     and facts of hot keys are salted. The table's key is kept under ``table_key`` if that is
-    given. Rows already aggregated by the key need none of this; a plain join serves them.
+    given. For rows already aggregated by the key see ``attach``.
     """
     right = table.df.withColumnRenamed(table_key or key, _KEY)
     if table.small:
@@ -48,6 +51,15 @@ def lookup(facts: DataFrame, table: Dimension, key: str, how: str, table_key: st
     return joined.withColumnRenamed(_KEY, table_key) if table_key else joined.drop(_KEY)
 
 
+def attach(rows: DataFrame, table: Dimension, key: str, how: str) -> DataFrame:
+    """Columns of a table joined to rows that are an aggregate by its key and more.
+
+    Finding hot keys would compute the aggregate twice, so beyond the broadcast bound this is
+    a plain join. What follows shuffles by other keys, so adaptive execution may split it.
+    """
+    return rows.join(F.broadcast(table.df) if table.small else table.df, key, how)
+
+
 def _salted_lookup(facts: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
     """Exact for any distribution of keys.
 

@@ -14,7 +14,7 @@ from boxoffice.functions.dates import days_between, year_month
 from boxoffice.functions.keys import surrogate_key
 from boxoffice.functions.money import average_cents, dollars, percent, percent_label
 from boxoffice.functions.text import upper_code
-from boxoffice.operators.joins import dimension, lookup
+from boxoffice.operators.joins import attach, dimension, lookup
 from boxoffice.operators.kpi import BOOKED, CANCELLED, REFUNDED, count_status, in_status, usd_cents, valued
 from boxoffice.operators.ranking import top_k_per_group
 from boxoffice.operators.share import share_of_total
@@ -44,7 +44,7 @@ def _or_zero(value: Column, matched: Column) -> Column:
 
 def ticket_sales_daily(silver: Tables) -> DataFrame:
     """Event x day x platform x channel. Closed channels share one row with no channel."""
-    channels = silver.channels.select("channel_id", "channel_name", "channel_type")
+    channels = dimension(silver.channels.select("channel_id", "channel_name", "channel_type"))
     sold = silver.tickets.select(
         F.col("purchase_date").alias("sale_date"),
         "event_id",
@@ -54,7 +54,7 @@ def ticket_sales_daily(silver: Tables) -> DataFrame:
         "ticket_status",
         "face_value_usd",
     )
-    sold = lookup(sold, dimension(channels.select("channel_id")), "sold_through", "left", table_key="channel_id")
+    sold = lookup(sold, channels.select("channel_id"), "sold_through", "left", table_key="channel_id")
     measured = sold.groupBy("sale_date", "event_id", "platform_source", "channel_id").agg(
         count_status(BOOKED).alias("tickets_sold"),
         count_status(CANCELLED).alias("tickets_cancelled"),
@@ -66,7 +66,8 @@ def ticket_sales_daily(silver: Tables) -> DataFrame:
     )
     events = silver.events.select("event_id", "event_name", "event_category", "venue_country")
     platforms = _platform_names(silver, "platform_id", "platform_name", "platform_region")
-    described = measured.join(events, "event_id").join(platforms, "platform_source").join(channels, "channel_id", "left")
+    placed = measured.join(events, "event_id").join(platforms, "platform_source")
+    described = attach(placed, channels, "channel_id", "left")
     return described.select(
         "sale_date",
         "event_id",
@@ -138,7 +139,7 @@ def preferred_channel(silver: Tables) -> DataFrame:
     booked = silver.tickets.where(in_status(BOOKED)).groupBy("customer_id", "channel_id").agg(
         F.count("*").alias("booked")
     )
-    named = booked.join(silver.channels.select("channel_id", "channel_name"), "channel_id")
+    named = attach(booked, dimension(silver.channels.select("channel_id", "channel_name")), "channel_id", "inner")
     best = top_k_per_group(named, ["customer_id"], [F.desc("booked"), F.asc("channel_id")])
     return best.select("customer_id", F.col("channel_name").alias("preferred_channel"))
 
