@@ -135,8 +135,8 @@ def cast_types(spark, folder):
     line = star_schema.table(spark, folder, "lineitem")
     as_text = line.select(
         F.col("l_orderkey").cast("string").alias("whole"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("day"),
-        F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("instant"),
+        F.to_date("l_shipdate").cast("string").alias("day"),
+        F.col("l_shipdate").cast("string").alias("instant"),
         F.col("l_extendedprice").cast("decimal(18,2)").cast("string").alias("price"),
         F.when(F.col("l_returnflag") == "N", "true").otherwise("false").alias("flag"),
         "l_linestatus",
