@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from boxoffice.functions.money import average_cents, cents, dollars
+from boxoffice.functions.money import cents
 
 # Life-cycle states of a ticket.
 BOOKED, CANCELLED, REFUNDED = "booked", "cancelled", "refunded"
@@ -37,11 +37,3 @@ def usd_cents(status: str) -> Column:
 def valued(status: str) -> Column:
     """Rows of a status that have a value: the divisor of its average."""
     return F.count_if(in_status(status) & F.col(_USD_CENTS).isNotNull())
-
-
-def average_price(total_cents: Column, priced_rows: Column) -> Column:
-    return average_cents(total_cents, priced_rows)
-
-
-def money(total_cents: Column) -> Column:
-    return dollars(total_cents)

@@ -7,7 +7,7 @@ plans (no aggregation before joins, no salting), so that it can disagree with th
 from __future__ import annotations
 
 from boxoffice.plans.checks import CHECKS
-from boxoffice.queries import AS_OF, CUT
+from boxoffice.queries import AS_OF
 from boxoffice.sources.seeds import packaged_rates
 from boxoffice.sources.star_schema import CURRENCIES
 

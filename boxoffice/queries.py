@@ -11,7 +11,7 @@ from pyspark.sql.types import DateType, DecimalType, TimestampType
 from boxoffice.functions import text
 from boxoffice.functions.dates import as_day, as_instant, days_between, year_month
 from boxoffice.functions.keys import surrogate_key
-from boxoffice.functions.money import dollars, percent
+from boxoffice.functions.money import average_cents, dollars, percent
 from boxoffice.operators import joins, kpi, quality
 from boxoffice.operators.conform import missing_required
 from boxoffice.operators.dedup import any_per_key, latest_per_key
@@ -271,7 +271,7 @@ def status_measures(spark, folder):
         "refunded",
         dollars(F.col("booked_cents")).alias("revenue_usd"),
         dollars(F.col("refunded_cents")).alias("refund_value_usd"),
-        kpi.average_price(F.col("booked_cents"), F.col("priced")).alias("avg_price_usd"),
+        average_cents(F.col("booked_cents"), F.col("priced")).alias("avg_price_usd"),
         percent(F.col("cancelled"), F.col("total")).alias("cancellation_rate_pct"),
         "last_purchase_date",
     )
@@ -460,7 +460,7 @@ def upsert_latest(spark, folder):
 
 @query
 def merge_plain(spark, folder):
-    """The reference semantics of a merge, as one DataFrame: matched rows replaced, none deleted."""
+    """A plain merge as one DataFrame: matched rows replaced, none deleted."""
     raw = star_schema.raw_channels(spark, folder)
     early = F.col("launch_date") < F.lit("1995-06-01").cast("date")
     changed = raw.where(~early).unionByName(raw.where(early & (F.col("channel_type") == "vendor")))
