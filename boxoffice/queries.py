@@ -381,7 +381,8 @@ def gold_channel_performance(spark, folder):
 
 @query
 def check_not_null(spark, folder):
-    return quality.not_null(star_schema.raw_tickets(spark, folder), "currency").select("ticket_id", "ingested_at", "channel_id")
+    unpriced = quality.not_null(star_schema.raw_tickets(spark, folder), "currency")
+    return unpriced.select("ticket_id", "ingested_at", "channel_id")
 
 
 @query
