@@ -11,6 +11,7 @@ from boxoffice.llm.exact_dedup import exact_dedup
 from boxoffice.llm.mixing import mix
 from boxoffice.llm.ngram_join import ngram_join
 from boxoffice.llm.scratch import table
+from boxoffice.llm.toxicity import classify, is_held_out, train_on
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +28,13 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """A toxicity score for every document, learnt outside the held-out third of the labels."""
+    docs = table(spark, folder, "documents")
+    scored = classify(docs, train_on(docs, table(spark, folder, "labels")))
+    return scored.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """How many words of every document the mix of all sources takes."""
     found = mix(table(spark, folder, "documents"))
@@ -37,6 +45,7 @@ def registered() -> dict[str, Query]:
     return {
         "op3_ngram_join": op3_ngram_join,
         "op4_exact_dedup": op4_exact_dedup,
+        "op7_toxicity": op7_toxicity,
         "op9_mixing": op9_mixing,
     }
 
