@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from boxoffice.llm import bpe
 from boxoffice.llm.exact_dedup import exact_dedup
 from boxoffice.llm.mixing import mix
 from boxoffice.llm.ngram_join import ngram_join
@@ -28,6 +29,29 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of every document, and the text they decode to, as digests."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return token_digests(bpe.encode(docs, tokenizer("word_bpe_49k.json"), decoded=True))
+
+
+def token_digests(encoded: DataFrame) -> DataFrame:
+    ids = F.concat_ws(" ", F.col("ids").cast("array<string>"))
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def tokenizer(name: str) -> str:
+    """Where an installed public tokenizer file is."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """A toxicity score for every document, learnt outside the held-out third of the labels."""
     docs = table(spark, folder, "documents")
@@ -45,6 +69,7 @@ def registered() -> dict[str, Query]:
     return {
         "op3_ngram_join": op3_ngram_join,
         "op4_exact_dedup": op4_exact_dedup,
+        "op5_bpe": op5_bpe,
         "op7_toxicity": op7_toxicity,
         "op9_mixing": op9_mixing,
     }
