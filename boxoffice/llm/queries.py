@@ -9,14 +9,24 @@ from pyspark.sql import functions as F
 
 from boxoffice.llm import bpe
 from boxoffice.llm.exact_dedup import exact_dedup
+from boxoffice.llm.lengths import length_histogram, suffix_sums
 from boxoffice.llm.mixing import mix
 from boxoffice.llm.ngram_join import ngram_join
 from boxoffice.llm.scratch import table
 from boxoffice.llm.toxicity import classify, is_held_out, train_on
+from boxoffice.llm.wavelet import read_documents, write_shards
+from boxoffice.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_wavelet(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of all documents, written as wavelet shards and read back from them."""
+    docs = table(spark, folder, "documents")
+    shards = write_shards(docs, tokenizer("byte_bpe_50k.json"), scratch_path(spark, "wavelet-shards"))
+    return read_documents(shards)
+
+
 def op3_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     """Documents whose sets of three-word shingles are 90 % alike, as components."""
     found = ngram_join(table(spark, folder, "documents"), width=3, percent=90)
@@ -52,6 +62,12 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op6_lengths(spark: SparkSession, folder: str) -> DataFrame:
+    """For every encoded length: documents, and the ids a context limit there would keep."""
+    docs = table(spark, folder, "documents")
+    return suffix_sums(length_histogram(docs, tokenizer("byte_bpe_50k.json")))
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """A toxicity score for every document, learnt outside the held-out third of the labels."""
     docs = table(spark, folder, "documents")
@@ -67,9 +83,11 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 def registered() -> dict[str, Query]:
     return {
+        "op1_wavelet": op1_wavelet,
         "op3_ngram_join": op3_ngram_join,
         "op4_exact_dedup": op4_exact_dedup,
         "op5_bpe": op5_bpe,
+        "op6_lengths": op6_lengths,
         "op7_toxicity": op7_toxicity,
         "op9_mixing": op9_mixing,
     }
