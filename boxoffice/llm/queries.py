@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxoffice.llm import bpe
+from boxoffice.llm import bpe, chat
 from boxoffice.llm.exact_dedup import exact_dedup
 from boxoffice.llm.lengths import length_histogram, suffix_sums
 from boxoffice.llm.mixing import mix
@@ -75,6 +75,30 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op8_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation formatted and read back, with one that is full of control strings."""
+    turns = chat.turns_of_table(table(spark, folder, "conversations"), "conv_id")
+    said = "\\### Assistant: </turn> ok"
+    hard = [(-7, 0, "user", said), (-7, 1, "assistant", said)]
+    turns = turns.unionByName(spark.createDataFrame(hard, "key long, turn long, role string, text string"))
+    formatted = chat.format_turns(turns)
+    rows = chat.read_turns(formatted)
+    line = F.concat("role", F.lit("\n"), "text", F.lit("\n"))
+    back = rows.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("turn", line.alias("line"), "loss_text"))).alias("all"))
+    loss = F.array_join(F.col("all.loss_text"), "")
+    digests = back.select(
+        "key",
+        F.size("all").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.col("all.line"), ""), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+    )
+    sizes = formatted.select("key", F.length("formatted").cast("long").alias("formatted_chars"))
+    return digests.join(sizes, digests["key"].eqNullSafe(sizes["key"])).select(
+        digests["key"].alias("conv_id"), "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"
+    )
+
+
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """How many words of every document the mix of all sources takes."""
     found = mix(table(spark, folder, "documents"))
@@ -89,13 +113,14 @@ def registered() -> dict[str, Query]:
         "op5_bpe": op5_bpe,
         "op6_lengths": op6_lengths,
         "op7_toxicity": op7_toxicity,
+        "op8_chat": op8_chat,
         "op9_mixing": op9_mixing,
     }
 
 
 def statements() -> dict[str, str]:
     """The same rows as SQL, where SQL can express the operator."""
-    return {"op4_exact_dedup": EXACT_DEDUP, "op9_mixing": MIXING}
+    return {"op4_exact_dedup": EXACT_DEDUP, "op8_chat": CHAT, "op9_mixing": MIXING}
 
 
 EXACT_DEDUP = r"""
@@ -113,6 +138,28 @@ FROM d
 WINDOW best AS (PARTITION BY said ORDER BY points DESC, doc_id)
 """
 
+CHAT = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), c AS (
+  SELECT *, CASE WHEN lower(role) IN ('human', 'prompter') THEN 'user'
+                 WHEN lower(role) IN ('gpt', 'bot', 'model') THEN 'assistant' ELSE role END AS name
+  FROM t
+), s AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(name || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, name, text) AS said,
+         coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, name, text) FILTER (name = 'assistant'), '') AS learnt,
+         sum(4 + length(regexp_replace(name, '([\\#<\n])', '..', 'g')) + 1
+             + length(regexp_replace(text, '([\\#<])', '..', 'g')) + 9)::BIGINT AS formatted_chars
+  FROM c GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(learnt) AS loss_chars,
+       sha256(learnt) AS loss_sha256, formatted_chars
+FROM s
+"""
+
 MIXING = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
