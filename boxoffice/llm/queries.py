@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from boxoffice.llm import bpe, chat
 from boxoffice.llm.exact_dedup import exact_dedup
+from boxoffice.llm.html_text import visible_text
 from boxoffice.llm.lengths import length_histogram, suffix_sums
 from boxoffice.llm.mixing import mix
 from boxoffice.llm.ngram_join import ngram_join
@@ -105,6 +106,14 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The visible text of every page."""
+    pages = table(spark, folder, "pages").select("page_id", visible_text(F.col("html")).alias("text"))
+    return pages.select(
+        "page_id", "text", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256")
+    )
+
+
 def registered() -> dict[str, Query]:
     return {
         "op1_wavelet": op1_wavelet,
@@ -115,6 +124,7 @@ def registered() -> dict[str, Query]:
         "op7_toxicity": op7_toxicity,
         "op8_chat": op8_chat,
         "op9_mixing": op9_mixing,
+        "op10_html_text": op10_html_text,
     }
 
 
