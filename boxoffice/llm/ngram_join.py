@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from boxoffice.llm.components import components
-from boxoffice.llm.scratch import stored
+from boxoffice.llm.scratch import likely, stored
 from boxoffice.llm.words import ASCII_SPACE, LOWER, hashes, mix, pieces, spans, utf8
 
 # Cells of the frequency table and the slices in which it is added up; both are fixed, so it has 4 MB at any size.
@@ -172,11 +172,15 @@ def ngram_join(
         sets.where("n > 0").groupBy("set_id", "group_id", "n").agg(F.min("id").alias("first_id")), "ngram-nodes"
     )
     tokens = _shared_tokens(sets, nodes)
-    hashed = _hashed_sets(docs, sets, nodes, tokens, width)
-    checked = _verified(_neighbours(tokens, nodes, percent), hashed, percent)
+    pairs = stored(_neighbours(tokens, nodes, percent), "ngram-pairs")
+    hashed = _hashed_sets(docs, _members(pairs, nodes), width)
+    checked = _verified(pairs, hashed, percent)
     links = checked.where("linked").select("a", "b")
     roots = stored(components(links), "ngram-roots")
     crossing = _crossing(tokens, nodes, roots, percent).join(checked.select("a", "b"), ["a", "b"], "left_anti")
+    crossing = stored(crossing, "ngram-crossing")
+    unread = _members(crossing, nodes).join(hashed.select("set_id"), "set_id", "left_anti")
+    hashed = hashed.union(_hashed_sets(docs, unread, width))
     more = _verified(crossing, hashed, percent).where("linked").select("a", "b")
     joined = more.join(roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left").join(
         roots.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left"
@@ -259,12 +263,17 @@ def _crossing(tokens: DataFrame, nodes: DataFrame, roots: DataFrame, percent: in
     return pairs.select(F.least("set_id1", "set_id2").alias("a"), F.greatest("set_id1", "set_id2").alias("b")).distinct()
 
 
-def _hashed_sets(docs: DataFrame, sets: DataFrame, nodes: DataFrame, tokens: DataFrame, width: int) -> DataFrame:
-    """(set_id, n, grams) of the nodes that can be in a pair, from one text of each."""
-    crowded = nodes.groupBy("group_id").agg(F.count("*").alias("members")).where("members > 1").select("group_id")
-    groups = tokens.select("group_id").distinct().union(crowded).distinct()
-    chosen = nodes.join(groups, "group_id", "left_semi").select("set_id", F.col("first_id").alias("id"))
-    texts = docs.join(chosen, docs["id"].eqNullSafe(chosen["id"])).select("set_id", "text")
+def _members(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(set_id, id) of the nodes in pairs, with one text each."""
+    ends = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
+    return nodes.join(ends, "set_id", "left_semi").select("set_id", F.col("first_id").alias("id"))
+
+
+def _hashed_sets(docs: DataFrame, members: DataFrame, width: int) -> DataFrame:
+    """(set_id, n, grams) of the members, made anew from their texts."""
+    chosen = stored(members, "ngram-members").withColumnRenamed("id", "member")
+    texts = likely(docs, F.col("id"), chosen, F.col("member"))
+    texts = texts.join(chosen, texts["id"].eqNullSafe(chosen["member"])).select("set_id", "text")
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boxoffice.session import scratch_path
@@ -23,5 +25,37 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+# Bits of the filter before a join: 8 MB, whatever the tables; about 60 million keys fill it.
+FILTER_BITS = 1 << 26
+_BITMAP_BITS = 32768  # of one bitmap of Spark's bitmap functions
+
+
+def likely(df: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column) -> DataFrame:
+    """Rows of ``df`` whose key may be among those of ``wanted``: all that are, and few others.
+
+    A bitmap of fixed size goes to every task, so that wide rows which a join would drop are not
+    shuffled for it. A full bitmap lets all rows pass; the join that follows decides.
+    """
+    bit = F.pmod(F.xxhash64(wanted_key), F.lit(FILTER_BITS))
+    maps = (
+        wanted.select(bit.alias("bit"))
+        .groupBy(F.floor(F.col("bit") / _BITMAP_BITS).alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.col("bit") % _BITMAP_BITS).alias("bits"))
+    )
+    packed = np.zeros(FILTER_BITS // 8, np.uint8)
+    for row in maps.collect():  # FILTER_BITS / 32768 rows of 4 KB at most
+        at = row[0] * _BITMAP_BITS // 8
+        packed[at : at + _BITMAP_BITS // 8] = np.frombuffer(row[1], np.uint8)
+    shared = df.sparkSession.sparkContext.broadcast(packed.tobytes())
+
+    @F.arrow_udf("boolean")
+    def there(bits: pa.Array) -> pa.Array:
+        at = bits.to_numpy(zero_copy_only=False)
+        table = np.frombuffer(shared.value, np.uint8)
+        return pa.array((table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1)
+
+    return df.where(there(F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
