@@ -58,7 +58,7 @@ def build_lexicon(words: list[bytes], path: str, separator: str = SEPARATOR) ->
     """The automaton's file for these words, with ids from the tokenizer file at ``path``."""
     if not words:
         return compile_lexicon({})
-    ids, counts = library_encode(path, separator)(words)
+    ids, counts = library_encode(path, separator, lower=True)(words)
     return compile_lexicon(dict(zip(words, np.split(ids, np.cumsum(counts)[:-1]))))
 
 
@@ -96,7 +96,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", decoded: bool = F
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = ("word", path, hashlib.sha256(shared.value).hexdigest())
-        encoder = encoder_for(key, lambda: Encoder(library_encode(path, SEPARATOR), mapped(shared.value)))
+        encoder = encoder_for(key, lambda: Encoder(library_encode(path, SEPARATOR, lower=True), mapped(shared.value)))
         strings = tokens_of(path) if decoded else None
         for batch in batches:
             for piece in pieces(batch, "__text", 1 << 20):
