@@ -52,9 +52,10 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), mos
             "share", F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
         )
         .withColumn("level", F.col("left") / F.col("share"))
+        .withColumn("place", F.row_number().over(filling))
     )
     # The first source, in that order, which its level does not fill; all before it are full.
-    open_level = F.min(F.when(F.col("full_at") >= F.col("level"), F.struct("full_at", "level"))).over(everything)
+    open_level = F.min(F.when(F.col("full_at") >= F.col("level"), F.struct("place", "level"))).over(everything)
     return ranked.withColumn("open_level", open_level["level"]).select(
         "source",
         "source_size",

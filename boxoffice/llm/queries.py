@@ -14,6 +14,7 @@ from boxoffice.llm.lengths import length_histogram, suffix_sums
 from boxoffice.llm.mixing import mix
 from boxoffice.llm.ngram_join import ngram_join
 from boxoffice.llm.scratch import table
+from boxoffice.llm.search import top_k
 from boxoffice.llm.toxicity import classify, is_held_out, train_on
 from boxoffice.llm.wavelet import read_documents, write_shards
 from boxoffice.session import scratch_path
@@ -28,6 +29,13 @@ def op1_wavelet(spark: SparkSession, folder: str) -> DataFrame:
     return read_documents(shards)
 
 
+def op2_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten documents nearest by BM25 to every document whose id is divisible by 20."""
+    docs = table(spark, folder, "documents")
+    queries = docs.where("doc_id % 20 = 0").select(F.col("doc_id").alias("query"), "text")
+    return top_k(docs, queries).select(F.col("query").alias("query_id"), "rank", "doc_id", "score")
+
+
 def op3_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     """Documents whose sets of three-word shingles are 90 % alike, as components."""
     found = ngram_join(table(spark, folder, "documents"), width=3, percent=90)
@@ -117,6 +125,7 @@ def op10_html_text(spark: SparkSession, folder: str) -> DataFrame:
 def registered() -> dict[str, Query]:
     return {
         "op1_wavelet": op1_wavelet,
+        "op2_search": op2_search,
         "op3_ngram_join": op3_ngram_join,
         "op4_exact_dedup": op4_exact_dedup,
         "op5_bpe": op5_bpe,
@@ -185,11 +194,12 @@ WITH d AS (
   SELECT *, source_size * 3.0::DOUBLE / weight AS full_at FROM s
 ), l AS (
   SELECT *, (sum(source_size) OVER () - coalesce(sum(source_size) OVER earlier, 0) * 3.0::DOUBLE)
-            / (sum(weight) OVER () - coalesce(sum(weight) OVER earlier, 0)) AS level
+            / (sum(weight) OVER () - coalesce(sum(weight) OVER earlier, 0)) AS level,
+         row_number() OVER (ORDER BY full_at, source NULLS LAST) AS place
   FROM f
   WINDOW earlier AS (ORDER BY full_at, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ), o AS (
-  SELECT arg_min(level, full_at) AS open_level FROM l WHERE full_at >= level
+  SELECT arg_min(level, place) AS open_level FROM l WHERE full_at >= level
 ), t AS (
   SELECT source, source_size, least(source_size * 3.0::DOUBLE, coalesce(open_level, 'inf'::DOUBLE) * weight) AS target
   FROM f LEFT JOIN o ON true

@@ -218,22 +218,22 @@ def train(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "toxic",
-    train_rows: int = TRAIN_ROWS,
+    train_rows: int | None = TRAIN_ROWS,
     identities: Sequence[Sequence[str]] = IDENTITIES,
     penalty: float = 1.0,
 ) -> Model:
-    """Fit on at most ``train_rows`` rows of ``labelled`` with a label of 0 or 1, chosen by a hash of the id."""
-    sample = stored(
-        labelled.select(
-            F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(label_col).cast("int").alias("toxic")
-        )
-        .where("toxic in (0, 1)")
-        .orderBy(F.xxhash64("id"), "id")
-        .limit(train_rows),
-        "toxicity-sample",
-    )
-    # One file after a limit; spread over the cores again.
-    sample = sample.repartition(2 * sample.sparkSession.sparkContext.defaultParallelism)
+    """Fit on at most ``train_rows`` rows of ``labelled`` with a label of 0 or 1, chosen by a hash of the id.
+
+    None stands for all of them, where the caller has bounded their number.
+    """
+    rows = labelled.select(
+        F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(label_col).cast("int").alias("toxic")
+    ).where("toxic in (0, 1)")
+    if train_rows is not None:
+        rows = rows.orderBy(F.xxhash64("id"), "id").limit(train_rows)
+    sample = stored(rows, "toxicity-sample")
+    if train_rows is not None:  # one file after a limit; spread it over the cores again
+        sample = sample.repartition(2 * sample.sparkSession.sparkContext.defaultParallelism)
     features = _statistics(sample)
     return fit([tuple(r) for r in _examples(sample, features, identities)], features, penalty)
 
@@ -251,7 +251,7 @@ def train_on(
         .limit(train_rows)  # so many narrow rows at most may be broadcast
     )
     found = docs.select(id_col, text_col).join(F.broadcast(chosen), id_col)
-    return train(found, id_col, text_col, "toxic", train_rows, **options)
+    return train(found, id_col, text_col, "toxic", None, **options)
 
 
 def is_held_out(identifier: Column) -> Column:
