@@ -144,7 +144,8 @@ class Encoder:
     def counts(self, buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """How many ids each piece has."""
         codes, first, went = distinct(hashes(buffer, starts, ends))
-        return self.count[self._places(buffer, starts[first], ends[first], codes)][went]
+        places = self._places(buffer, starts[first], ends[first], codes)  # may replace the table it points into
+        return self.count[places][went]
 
 
 def ranges(begin: np.ndarray, counts: np.ndarray) -> np.ndarray:
