@@ -103,6 +103,10 @@ class TreeBuilder(HTMLParser):
             self.open[-1].children.append(Node("br", {}))
         elif tag == "p" and not self._has({"p"}, P_SCOPE):
             self.open[-1].children.append(Node("p", {}))
+        elif tag not in BLOCK and (at := self._has({tag}, CELLS)) and any(n.tag in BLOCK for n in self.open[at:]):
+            # The end of an inline element leaves the blocks in it open.
+            del self.open[at]
+            self.count[tag] -= 1
         elif tag not in VOID:
             # An end tag never closes the cell or table around it from within.
             self._close({tag}, frozenset() if tag in ("table", "html", "body") else frozenset(("table", "td", "th")) - {tag})

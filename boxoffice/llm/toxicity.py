@@ -108,7 +108,7 @@ def counterfactuals(text: str, identities: Sequence[Sequence[str]] = IDENTITIES)
         return "".join(pattern.sub(other, s) for s in sentences)
 
     variants = [exchanged(step) for step in range(1, max(len(group) for group in identities))]
-    return [v for v in dict.fromkeys(variants) if v != text]
+    return [v for v in dict.fromkeys(variants) if v.lower() != text.lower()]
 
 
 def _statistics(sample: DataFrame) -> np.ndarray:
