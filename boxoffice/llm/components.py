@@ -1,27 +1,61 @@
-"""Connected components of a link table by alternating large-star and small-star steps.
+"""Connected components of a link table by repeated local contraction.
 
-Each round is a few joins and aggregates over the links; its result is written to the shared
-folder, so lineage stays short. Links never reach the driver, only their count and a checksum.
+A link hangs its larger node on the smaller. In each round a link goes to a task by its lower
+node, spread over ``SALTS`` tasks by its upper one, and to the tasks of its upper node; each task
+joins what it has and hangs every node on the smallest it can reach. So a node learns where its
+parent hangs, two parents of a node learn of each other, and the ties get shorter until none
+changes. A node with very many links is spread; links never reach the driver, only their count
+and a checksum. Each round's result is written to the shared folder, so lineage stays short.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boxoffice.llm.scratch import stored
 
+SALTS = 4
+
 
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (a, b): root is the smallest node of its component."""
-    stars = stored(_oriented(links.select("a", "b")), "stars")
-    before = None
-    while before != (now := _state(stars)):
-        before = now
-        both = stars.union(stars.select("b", "a"))
-        stars = _star(both, lambda a, least: F.col("b") > a)
-        stars = stored(_star(stars, lambda a, least: F.lit(True)), "stars")
-    return stars.select(F.col("a").alias("node"), F.col("b").alias("root")).union(stars.select("b", "b").distinct())
+    ties = stored(_oriented(links.select("a", "b")), "ties")
+    kind = ties.schema["a"].dataType.simpleString()
+    before, now = None, _state(ties)
+    while before != now and now[0]:
+        salt = F.pmod(F.xxhash64("a"), F.lit(SALTS))
+        below = ties.select(F.col("b").alias("key"), salt.alias("salt"), "a", "b")
+        own = ties.select(F.col("a").alias("key"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), "a", "b")
+        met = below.union(own.withColumn("salt", F.col("salt").cast("long"))).repartition("key", "salt").select("a", "b")
+        ties = stored(_oriented(met.mapInArrow(_contract, f"a {kind}, b {kind}")), "ties")
+        before, now = now, _state(ties)
+    return ties.select(F.col("a").alias("node"), F.col("b").alias("root")).union(ties.select("b", "b").distinct())
+
+
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hangs every node of the links of a task on the smallest node that these links tie it to."""
+    above: dict = {}
+
+    def root(node):
+        while (up := above.get(node, node)) != node:
+            above[node] = node = above.get(up, up)
+        return node
+
+    schema = None
+    for batch in batches:
+        schema = batch.schema
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            low, high = sorted((root(a), root(b)))
+            if low != high:
+                above[high] = low
+    if above:
+        nodes = list(above)
+        columns = [pa.array(column, field.type) for column, field in zip((nodes, [root(n) for n in nodes]), schema)]
+        yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
 
 def _oriented(links: DataFrame) -> DataFrame:
@@ -29,12 +63,5 @@ def _oriented(links: DataFrame) -> DataFrame:
     return links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
-def _star(links: DataFrame, moved) -> DataFrame:
-    """Ties the chosen neighbours of every node, and the node itself, to the smallest of them all."""
-    least = links.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-    hung = links.join(least, "a").where(moved(F.col("a"), F.col("m"))).select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return _oriented(hung.union(least.select("a", F.col("m").alias("b"))))
-
-
 def _state(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())

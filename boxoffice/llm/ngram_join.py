@@ -5,8 +5,9 @@ all texts in hashed cells, ties by hash. Two sets of similarity t or more share
 the first n - ceil(t n) + 1 of each, so only those are shuffled.
 
 1. Texts with the same set become one node; nodes with the same prefix and size become a group.
-2. Within each prefix shingle, groups are ordered by size and tied to their neighbour and to the
-   first one only; pairs that pass the size and the position filter are verified exactly.
+2. Within each prefix shingle, groups are ordered by size, and once at random, and tied to their
+   neighbours and to the first one only; pairs that pass the size and the position filter are
+   verified exactly.
 3. Their links give components. Only shingles that still touch several components are joined in
    full, and only pairs of different components are verified. Pairs inside a component cannot
    change it, so thousands of near copies cost a line, not a square.
@@ -171,13 +172,14 @@ def ngram_join(
     nodes = stored(
         sets.where("n > 0").groupBy("set_id", "group_id", "n").agg(F.min("id").alias("first_id")), "ngram-nodes"
     )
-    tokens = _shared_tokens(sets, nodes)
+    prefixes = sets.where("n > 0").groupBy("group_id").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    tokens = _shared_tokens(prefixes)
     pairs = stored(_neighbours(tokens, nodes, percent), "ngram-pairs")
     hashed = _hashed_sets(docs, _members(pairs, nodes), width)
     checked = _verified(pairs, hashed, percent)
     links = checked.where("linked").select("a", "b")
     roots = stored(components(links), "ngram-roots")
-    crossing = _crossing(tokens, nodes, roots, percent).join(checked.select("a", "b"), ["a", "b"], "left_anti")
+    crossing = _crossing(tokens, prefixes.drop("n"), nodes, roots, percent).join(checked.select("a", "b"), ["a", "b"], "left_anti")
     crossing = stored(crossing, "ngram-crossing")
     unread = _members(crossing, nodes).join(hashed.select("set_id"), "set_id", "left_anti")
     hashed = hashed.union(_hashed_sets(docs, unread, width))
@@ -212,10 +214,9 @@ def _named(nodes: DataFrame, roots: DataFrame, above: DataFrame) -> DataFrame:
     return stored(top.join(least, "top").select("set_id", "component"), "ngram-named")
 
 
-def _shared_tokens(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+def _shared_tokens(prefixes: DataFrame) -> DataFrame:
     """(token, group_id, n, pos) of the prefix shingles that at least two groups share."""
-    one = sets.where("n > 0").groupBy("group_id", "n").agg(F.first("prefix").alias("prefix"))
-    rows = one.select("group_id", "n", F.posexplode("prefix").alias("pos", "token"))
+    rows = prefixes.select("group_id", "n", F.posexplode("prefix").alias("pos", "token"))
     counted = rows.withColumn("groups", F.count("*").over(Window.partitionBy("token")))
     return stored(counted.where("groups > 1").select("token", "group_id", "n", "pos"), "ngram-tokens")
 
@@ -223,10 +224,15 @@ def _shared_tokens(sets: DataFrame, nodes: DataFrame) -> DataFrame:
 def _neighbours(tokens: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of nodes: each group's first member with those of its neighbours, and with its other members."""
     order = Window.partitionBy("token").orderBy("n", "group_id")
+    shuffled = Window.partitionBy("token").orderBy(F.xxhash64("token", "group_id"), "group_id")
     here = F.struct("group_id", "n", "pos")
-    rows = tokens.withColumn("previous", F.lag(here).over(order)).withColumn("hub", F.first(here).over(order))
+    rows = (
+        tokens.withColumn("previous", F.lag(here).over(order))
+        .withColumn("hub", F.first(here).over(order))
+        .withColumn("any", F.lag(here).over(shuffled))
+    )
     pairs = None
-    for other in ("previous", "hub"):
+    for other in ("previous", "hub", "any"):
         found = rows.where(
             (F.col(f"{other}.group_id") != F.col("group_id"))
             & _may_link(F.col("n"), F.col("pos"), F.col(f"{other}.n"), F.col(f"{other}.pos"), percent)
@@ -244,7 +250,7 @@ def _neighbours(tokens: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _crossing(tokens: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+def _crossing(tokens: DataFrame, prefixes: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """Every candidate pair whose nodes lie in different components; shingles of one component are left out."""
     placed = (
         nodes.select("set_id", "group_id")
@@ -253,11 +259,16 @@ def _crossing(tokens: DataFrame, nodes: DataFrame, roots: DataFrame, percent: in
     )
     rows = tokens.join(placed, "group_id")
     mixed = rows.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    rows = stored(rows.join(mixed.select("token"), "token", "left_semi"), "ngram-mixed")
-    one, two = (rows.select("token", *[F.col(c).alias(f"{c}{i}") for c in ("set_id", "root", "n", "pos")]) for i in (1, 2))
+    rows = rows.join(mixed.select("token"), "token", "left_semi")
+    rows = stored(rows.join(prefixes, "group_id"), "ngram-mixed")
+    names = ("set_id", "root", "n", "pos", "prefix")
+    one, two = (rows.select("token", *[F.col(c).alias(f"{c}{i}") for c in names]) for i in (1, 2))
+    # A pair is met at the first shingle its prefixes share, where the position filter is sharpest.
+    first = F.get(F.array_intersect("prefix1", "prefix2"), F.lit(0)) == F.col("token")
     pairs = one.join(two, "token").where(
         (F.col("root1") < F.col("root2"))
         & _may_link(F.col("n1"), F.col("pos1"), F.col("n2"), F.col("pos2"), percent)
+        & first
     )
     # Groups with the same prefix and size may also lie in several components.
     return pairs.select(F.least("set_id1", "set_id2").alias("a"), F.greatest("set_id1", "set_id2").alias("b")).distinct()
