@@ -14,7 +14,6 @@ White space is dropped by the tokenizer, so ``decode`` gives its tokens with spa
 from __future__ import annotations
 
 import hashlib
-import os
 import tempfile
 from collections.abc import Iterator
 
@@ -63,13 +62,11 @@ def build_lexicon(words: list[bytes], path: str, separator: str = SEPARATOR) ->
 
 
 def mapped(raw: bytes) -> Lexicon:
-    """The file in this machine's temporary folder, memory-mapped, so that all workers there share its pages."""
-    path = os.path.join(tempfile.gettempdir(), f"lexicon-{hashlib.sha256(raw).hexdigest()[:32]}")
-    if not os.path.exists(path):
-        with tempfile.NamedTemporaryFile(dir=tempfile.gettempdir(), delete=False) as file:
-            file.write(raw)
-        os.replace(file.name, path)
-    return Lexicon.open(path)
+    """The file, memory-mapped by this worker; its name goes at once, its space when the worker lets go of it."""
+    with tempfile.NamedTemporaryFile(prefix="lexicon-") as file:
+        file.write(raw)
+        file.flush()
+        return Lexicon.open(file.name)
 
 
 def tokens_of(path: str) -> np.ndarray:
