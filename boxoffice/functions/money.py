@@ -11,15 +11,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-MONEY = DecimalType(18, 2)
+# Fixed value: raw money as declared, nine decimals.
+MONEY = DecimalType(38, 9)
 RATE = DecimalType(12, 8)
+# A product of this and a rate has 37 digits, so Spark keeps all its decimals.
+_EXACT = "DECIMAL(24,9)"
 WHOLE = DecimalType(19, 0)
 
 
 def to_usd(face_value: Column, rate: Column) -> Column:
-    """Face value in dollars, rounded to the cent; a missing rate counts as 1."""
+    """Face value in dollars, rounded once, to the cent; a missing rate counts as 1.
+
+    Up to 10^15 the product is exact before it is rounded; beyond that Spark keeps six decimals of it.
+    """
     known_rate = F.coalesce(rate.cast(RATE), F.lit(1).cast(RATE))
-    return F.round(face_value.cast(MONEY) * known_rate, 2).cast("double")
+    money = face_value.cast(MONEY)
+    exact = F.round(money.try_cast(_EXACT) * known_rate, 2).cast("double")
+    return F.coalesce(exact, F.round(money * known_rate, 2).cast("double"))
 
 
 def cents(amount: Column) -> Column:

@@ -47,7 +47,9 @@ raw_tickets AS (
   SELECT l_orderkey::VARCHAR || '-' || l_linenumber::VARCHAR AS ticket_id,
          l_partkey::VARCHAR AS event_id, o_custkey::VARCHAR AS customer_id,
          CASE l_linestatus WHEN 'O' THEN ' standard' WHEN 'F' THEN 'Vip ' END AS ticket_type,
-         CAST(l_extendedprice AS DECIMAL(18,2)) AS face_value,
+         CAST(CASE WHEN l_orderkey % 1009 = 0 THEN -1 ELSE 1 END
+              * CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(24,9))
+           AS face_value,
          ([{_CODES}])[(l_partkey % 22) + 1] AS currency,
          o_orderdate AS purchase_timestamp,
          CASE l_returnflag WHEN 'N' THEN ' Booked' WHEN 'A' THEN 'CANCELLED ' WHEN 'R' THEN 'refunded' END

@@ -26,6 +26,7 @@ def _field(name: str, kind: DataType, note: str, required: bool = False, pii: bo
     return StructField(name, kind, not required, {"comment": note, "pii": pii})
 
 
+# The declared raw tables.
 RAW: dict[str, StructType] = {
     "tickets": StructType(
         [
@@ -94,6 +95,7 @@ RAW: dict[str, StructType] = {
     ),
 }
 
+# The declared seed.
 SEED = StructType(
     [
         _field("from_currency", TEXT, "currency converted from"),
@@ -115,10 +117,11 @@ class Table:
     partition_by: str | None = None
     cluster_by: tuple[str, ...] = ()
     pii: bool = False
-    owner: str = "data_engineering"
-    team: str = "platform"
+    owner: str | None = None
+    team: str | None = None
 
 
+# Keys and layout of the built tables. Owner and team are the caller's to give.
 TABLES: dict[str, Table] = {
     t.name: t
     for t in (

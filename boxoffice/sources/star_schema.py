@@ -68,16 +68,17 @@ def _day(start: str, offset: Column) -> Column:
 def raw_tickets(spark: SparkSession, folder: str, lines: DataFrame | None = None) -> DataFrame:
     """``lines`` may be a stream of order lines; the other tables are static."""
     line = table(spark, folder, "lineitem") if lines is None else lines
-    seller = (
-        table(spark, folder, "supplier")
+    # One table after the other: Spark knows the size of each file, but overestimates a join of the three.
+    sold = (
+        line.join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(table(spark, folder, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         .join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("s_suppkey", "r_name")
-    )
-    sold = line.join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(
-        seller, F.col("l_suppkey") == F.col("s_suppkey")
     )
     percent = F.round(F.col("l_discount") * 100).cast("int").cast("string")
+    # The discounted price keeps its four decimals; some refunds were entered as sales below zero.
+    price = F.col("l_extendedprice").cast("decimal(18,2)") * (1 - F.col("l_discount").cast("decimal(4,2)"))
+    price = F.when(F.col("l_orderkey") % 1009 == 0, -price).otherwise(price)
     return conform(
         sold.select(
             F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias(
@@ -86,7 +87,7 @@ def raw_tickets(spark: SparkSession, folder: str, lines: DataFrame | None = None
             F.col("l_partkey").alias("event_id"),
             F.col("o_custkey").alias("customer_id"),
             _decode(F.col("l_linestatus"), TICKET_TYPE_TEXT).alias("ticket_type"),
-            F.col("l_extendedprice").alias("face_value"),
+            price.alias("face_value"),
             _pick(CURRENCIES, F.col("l_partkey") % CURRENCY_SLOTS).alias("currency"),
             F.col("o_orderdate").alias("purchase_timestamp"),
             _decode(F.col("l_returnflag"), STATUS_TEXT).alias("ticket_status"),

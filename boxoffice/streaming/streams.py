@@ -51,11 +51,21 @@ def stream_upsert(
     )
 
 
-def dedup_exact(stream: DataFrame, keys: Sequence[str], arrived: str, delay: str = "3 days") -> DataFrame:
-    """Drops repeats of a key that arrive within ``delay``; the first one is kept.
+def dedup_exact(stream: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Drops repeats of a key; the first arrival is kept, however late it is.
 
     For records sent twice unchanged. It does not replace ``latest_per_key``: a corrected
-    version arrives later and would be the one dropped.
+    version arrives later and would be the one dropped. The state holds every key ever seen,
+    spread over the shuffle partitions; with the RocksDB state store it lies on disk.
+    """
+    return stream.dropDuplicates(list(keys))
+
+
+def dedup_within(stream: DataFrame, keys: Sequence[str], arrived: str, delay: str = "3 days") -> DataFrame:
+    """Like ``dedup_exact`` with a state that forgets keys after ``delay``.
+
+    The price: a record that arrives later than ``delay`` after the newest one is dropped even
+    if it is the first of its key. Use it where such records are known to be repeats.
     """
     return stream.withWatermark(arrived, delay).dropDuplicatesWithinWatermark(list(keys))
 

@@ -112,7 +112,7 @@ def platform(platform_id="p1", **changes):
     return {**row, **changes}
 
 
-_TEXT_FIRST = {"decimal(18,2)": "string"}
+_TEXT_FIRST = {"decimal(38,9)": "string"}
 
 
 def frame(spark, name, rows):
