@@ -28,6 +28,7 @@ from boxoffice.llm.words import distinct, hashes, pieces, utf8
 
 LEXICON = 1 << 16
 LEAST = 4
+PIECE = 4 << 20
 SEPARATOR = "<|endoftext|>"
 
 
@@ -36,7 +37,7 @@ def frequent_words(docs: DataFrame, text_col: str = "text", most: int = LEXICON,
 
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch, "text"):
+            for piece in pieces(batch, "text", PIECE):
                 buffer, offsets = utf8(piece.column("text"))
                 starts, ends, _ = cut_words(buffer, offsets)
                 _, first, went = distinct(hashes(buffer, starts, ends))

@@ -68,25 +68,30 @@ def _cells(grams: np.ndarray) -> np.ndarray:
     return (grams >> np.uint64(42)).astype(np.int64)
 
 
+def _add(total: np.ndarray, grams: np.ndarray) -> None:
+    cells, counts = np.unique(_cells(grams), return_counts=True)
+    total[cells] += counts.astype(np.uint32)
+
+
 def _frequencies(docs: DataFrame, width: int) -> bytes:
     """How often each cell's shingles occur in all texts, on a logarithmic scale of one byte."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(CELLS, np.int64)
+        total = np.zeros(CELLS, np.uint32)  # a task has fewer than 2^32 shingles
         waiting, held = [], 0
         for batch in batches:
             for piece in pieces(batch, "text"):
                 grams = shingle_sets(piece.column("text"), width, repeated=True)
                 waiting += grams
                 held += sum(map(len, grams))
-                if held > CELLS // 4:
-                    total += np.bincount(_cells(np.concatenate(waiting)), minlength=CELLS)
+                if held > CELLS // 8:
+                    _add(total, np.concatenate(waiting))
                     waiting, held = [], 0
         if waiting:
-            total += np.bincount(_cells(np.concatenate(waiting)), minlength=CELLS)
+            _add(total, np.concatenate(waiting))
         if total.any():
             parts = total.reshape(SLICES, -1)
-            packed = [pa.compress(np.minimum(p, 0xFFFFFFFF).astype("<u4").tobytes(), "zstd", asbytes=True) for p in parts]
+            packed = [pa.compress(p.astype("<u4").tobytes(), "zstd", asbytes=True) for p in parts]
             yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array(packed, pa.binary())], ["slice", "counts"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,6 +178,7 @@ def ngram_join(
         sets.where("n > 0").groupBy("set_id", "group_id", "n").agg(F.min("id").alias("first_id")), "ngram-nodes"
     )
     prefixes = sets.where("n > 0").groupBy("group_id").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    prefixes = stored(prefixes, "ngram-prefixes")
     tokens = _shared_tokens(prefixes)
     pairs = stored(_neighbours(tokens, nodes, percent), "ngram-pairs")
     hashed = _hashed_sets(docs, _members(pairs, nodes), width)

@@ -14,9 +14,14 @@ BROADCAST_ROWS = 1_000_000
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """Write ``df`` below ``spark.checkpoint.dir`` and read it back: computed once, stable afterwards."""
+    """Write ``df`` below ``spark.checkpoint.dir`` and read it back: computed once, stable afterwards.
+
+    What was shuffled for it is of no more use then; Spark removes those files when the driver
+    collects its garbage, so that is asked for here instead of at the next half hour.
+    """
     path = scratch_path(df.sparkSession, purpose)
     df.write.parquet(path)
+    df.sparkSession.sparkContext._jvm.java.lang.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -61,8 +61,8 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def pieces(batch: pa.RecordBatch, text: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """The batch in slices of a few MB of text, so that arrays over bytes stay small; a longer text is alone."""
+def pieces(batch: pa.RecordBatch, text: str, most_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about one MB of text, so that arrays over bytes stay small; a longer text is alone."""
     lengths = np.concatenate([[0], np.cumsum(np.asarray(_byte_lengths(batch.column(text))))])
     at = 0
     while at < batch.num_rows:
