@@ -7,10 +7,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from boxoffice import oracle, queries
 from conftest import SF
 
-QUERIES = driver.queries()
-SQL = driver.oracle_sql()
+QUERIES = queries.registered()
+SQL = oracle.statements()
 # Thousands of day folders each: covered on small tables in test_incremental.
 WRITES_DAYS = {"upsert_latest", "sink_daily", "pipeline_check_report", "stream_upsert_tickets"}
 
@@ -29,6 +30,7 @@ def ordered(rows):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(driver.queries()) and set(driver.oracle_sql()) <= set(driver.queries())
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITES_DAYS))
