@@ -13,6 +13,9 @@ from boxoffice.operators.conform import conform
 from boxoffice.schemas import SEED
 
 
+# The rows of data/currency_rates.csv.
+
+
 def read_rates(spark: SparkSession, path: str | None = None) -> DataFrame:
     """Currency rates from a CSV file with header, typed by declaration.
 
