@@ -178,14 +178,13 @@ def ngram_join(
         sets.where("n > 0").groupBy("set_id", "group_id", "n").agg(F.min("id").alias("first_id")), "ngram-nodes"
     )
     prefixes = sets.where("n > 0").groupBy("group_id").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    prefixes = stored(prefixes, "ngram-prefixes")
     tokens = _shared_tokens(prefixes)
     pairs = stored(_neighbours(tokens, nodes, percent), "ngram-pairs")
     hashed = _hashed_sets(docs, _members(pairs, nodes), width)
     checked = _verified(pairs, hashed, percent)
     links = checked.where("linked").select("a", "b")
     roots = stored(components(links), "ngram-roots")
-    crossing = _crossing(tokens, prefixes.drop("n"), nodes, roots, percent).join(checked.select("a", "b"), ["a", "b"], "left_anti")
+    crossing = _crossing(tokens, nodes, roots, percent).join(checked.select("a", "b"), ["a", "b"], "left_anti")
     crossing = stored(crossing, "ngram-crossing")
     unread = _members(crossing, nodes).join(hashed.select("set_id"), "set_id", "left_anti")
     hashed = hashed.union(_hashed_sets(docs, unread, width))
@@ -256,7 +255,7 @@ def _neighbours(tokens: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _crossing(tokens: DataFrame, prefixes: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+def _crossing(tokens: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """Every candidate pair whose nodes lie in different components; shingles of one component are left out."""
     placed = (
         nodes.select("set_id", "group_id")
@@ -265,16 +264,12 @@ def _crossing(tokens: DataFrame, prefixes: DataFrame, nodes: DataFrame, roots: D
     )
     rows = tokens.join(placed, "group_id")
     mixed = rows.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    rows = rows.join(mixed.select("token"), "token", "left_semi")
-    rows = stored(rows.join(prefixes, "group_id"), "ngram-mixed")
-    names = ("set_id", "root", "n", "pos", "prefix")
+    rows = stored(rows.join(mixed.select("token"), "token", "left_semi"), "ngram-mixed")
+    names = ("set_id", "root", "n", "pos")
     one, two = (rows.select("token", *[F.col(c).alias(f"{c}{i}") for c in names]) for i in (1, 2))
-    # A pair is met at the first shingle its prefixes share, where the position filter is sharpest.
-    first = F.get(F.array_intersect("prefix1", "prefix2"), F.lit(0)) == F.col("token")
     pairs = one.join(two, "token").where(
         (F.col("root1") < F.col("root2"))
         & _may_link(F.col("n1"), F.col("pos1"), F.col("n2"), F.col("pos2"), percent)
-        & first
     )
     # Groups with the same prefix and size may also lie in several components.
     return pairs.select(F.least("set_id1", "set_id2").alias("a"), F.greatest("set_id1", "set_id2").alias("b")).distinct()
