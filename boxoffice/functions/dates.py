@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: how far back an incremental run looks.
 LOOKBACK_DAYS = 3
 
 

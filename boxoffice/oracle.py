@@ -7,7 +7,7 @@ plans (no aggregation before joins, no salting), so that it can disagree with th
 from __future__ import annotations
 
 from boxoffice.plans.checks import CHECKS
-from boxoffice.queries import AS_OF
+from boxoffice.queries import AS_OF, RUN_TS
 from boxoffice.sources.seeds import packaged_rates
 from boxoffice.sources.star_schema import CURRENCIES
 
@@ -436,6 +436,12 @@ def statements() -> dict[str, str]:
         select=f"""SELECT * REPLACE ({_day("event_date")} AS event_date, {_time("ingested_at")} AS ingested_at)
         FROM s_events""",
     )
+    s["selected_events_view"] = _with(
+        RAW_EVENTS,
+        EVENTS,
+        select=f"""SELECT event_id, event_name, event_capacity, {_time(f"TIMESTAMP '{RUN_TS}'")} AS _loaded_at
+        FROM s_events""",
+    )
     s["silver_customers"] = _with(
         RAW_CUSTOMERS,
         CUSTOMERS,

@@ -486,6 +486,16 @@ def _pipeline(spark: SparkSession, folder: str, purpose: str) -> tuple[LayerStor
     return LayerStore(spark, base), report
 
 
+@query
+def selected_events_view(spark, folder):
+    """A run of one named table, read through its view, with the audit column."""
+    base = scratch_path(spark, "selected")
+    raw = _raw(spark, folder)
+    run(spark, raw, base, AS_OF, RUN_TS, layers=("seeds", "silver"), tables=("currency_rates", "events"))
+    name = LayerStore(spark, base).view("silver", "events")
+    return spark.sql(f"SELECT event_id, event_name, event_capacity, _loaded_at FROM {name}")
+
+
 @query
 def pipeline_check_report(spark, folder):
     """The whole build, raw to gold, and the report of all its checks."""
