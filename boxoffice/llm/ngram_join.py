@@ -177,7 +177,8 @@ def ngram_join(
     nodes = stored(
         sets.where("n > 0").groupBy("set_id", "group_id", "n").agg(F.min("id").alias("first_id")), "ngram-nodes"
     )
-    prefixes = sets.where("n > 0").groupBy("group_id").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    several = (F.min("set_id") != F.max("set_id")).alias("several")
+    prefixes = sets.where("n > 0").groupBy("group_id").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), several)
     tokens = _shared_tokens(prefixes)
     pairs = stored(_neighbours(tokens, nodes, percent), "ngram-pairs")
     hashed = _hashed_sets(docs, _members(pairs, nodes), width)
@@ -220,10 +221,14 @@ def _named(nodes: DataFrame, roots: DataFrame, above: DataFrame) -> DataFrame:
 
 
 def _shared_tokens(prefixes: DataFrame) -> DataFrame:
-    """(token, group_id, n, pos) of the prefix shingles that at least two groups share."""
-    rows = prefixes.select("group_id", "n", F.posexplode("prefix").alias("pos", "token"))
+    """(token, group_id, n, pos) of the prefix shingles that at least two groups share.
+
+    Nodes of one group meet in its first shingle, which passes the position filter, so that one stays if there are several.
+    """
+    rows = prefixes.select("group_id", "n", "several", F.posexplode("prefix").alias("pos", "token"))
     counted = rows.withColumn("groups", F.count("*").over(Window.partitionBy("token")))
-    return stored(counted.where("groups > 1").select("token", "group_id", "n", "pos"), "ngram-tokens")
+    kept = counted.where((F.col("groups") > 1) | (F.col("several") & (F.col("pos") == 0)))
+    return stored(kept.select("token", "group_id", "n", "pos"), "ngram-tokens")
 
 
 def _neighbours(tokens: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:

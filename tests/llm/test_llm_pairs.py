@@ -117,6 +117,19 @@ def test_ngram_join_of_many_near_copies(spark):
     assert {r.component_id for r in found if r.doc_id >= 1000} == {1000}
 
 
+def test_ngram_join_ties_members_of_a_group_without_its_head(spark):
+    """Three texts with one rare core, so one prefix and size; two of them link, whichever is first."""
+    other, same = ([f"{name}{i}" for i in range(85)] for name in "xy")
+    rows = []
+    for i in range(12):
+        core = [f"core{i}-{j}" for j in range(13)] + ["s", "t"]
+        rows += [(3 * i + j, " ".join(core + tail)) for j, tail in enumerate([other, same, same[:-1] + ["z"]])]
+    found = ngram_join(spark.createDataFrame(rows, DOC), width=3, percent=90).drop("set_id").collect()
+    want = brute_components(rows, 3, 90)
+    assert len({component for _, _, component in want}) == 24
+    assert sorted((tuple(r) for r in found), key=str) == want
+
+
 def test_ngram_join_of_an_empty_table_and_wrong_bounds(spark):
     assert ngram_join(spark.createDataFrame([], DOC)).count() == 0
     with pytest.raises(ValueError):
