@@ -1,7 +1,8 @@
 """Visible text of HTML pages, laid out: blocks, lists and aligned tables.
 
 A tree is built with the tags HTML implies (a paragraph ends where a block begins, an item where
-the next begins, cells and rows likewise); end tags without a start are ignored. Elements that
+the next begins, cells and rows likewise, the head where anything but its own elements comes); end
+tags without a start are ignored. Elements that
 are never shown, or are hidden by attribute or inline style, are left out with all they hold.
 The rest is rendered: white space collapses except in ``pre``; blocks begin on a line of their
 own, and some are set off by an empty line; list items are indented and get a bullet or number;
@@ -28,6 +29,8 @@ NEVER = frozenset(
     "head script style template noscript noframes noembed iframe object applet svg math canvas audio video picture map "
     "datalist select textarea title".split()
 )
+# What may stand in a head; any other start tag, and text, ends it and begins the body.
+IN_HEAD = frozenset("base basefont bgsound link meta title noscript noframes script style template head".split())
 APART = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure hr menu dir".split())
 BLOCK = APART | frozenset(
     "address article aside body caption center dd details dialog div dt fieldset figcaption footer form header hgroup "
@@ -83,6 +86,8 @@ class TreeBuilder(HTMLParser):
         attributes = dict(reversed(attrs))  # the first of repeated attributes counts
         if tag in ("html", "body") and any(node.tag == tag for node in self.open[:3]):
             return
+        if tag not in IN_HEAD:
+            self._leave_head(tag)
         if tag in ENDS_P:
             self._close({"p"}, P_SCOPE)
         if tag in IMPLIED_END:
@@ -100,10 +105,11 @@ class TreeBuilder(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "br":
+            self._leave_head(tag)
             self.open[-1].children.append(Node("br", {}))
         elif tag == "p" and not self._has({"p"}, P_SCOPE):
             self.open[-1].children.append(Node("p", {}))
-        elif tag not in BLOCK and (at := self._has({tag}, CELLS)) and any(n.tag in BLOCK for n in self.open[at:]):
+        elif tag not in BLOCK and tag not in NEVER and (at := self._has({tag}, CELLS)) and any(n.tag in BLOCK for n in self.open[at:]):
             # The end of an inline element leaves the blocks in it open.
             del self.open[at]
             self.count[tag] -= 1
@@ -112,11 +118,21 @@ class TreeBuilder(HTMLParser):
             self._close({tag}, frozenset() if tag in ("table", "html", "body") else frozenset(("table", "td", "th")) - {tag})
 
     def handle_data(self, data: str) -> None:
+        if self.open[-1].tag == "head" and not _SPACE.fullmatch(data):
+            self._leave_head("")
         self.open[-1].children.append(data)
 
     def unknown_decl(self, data: str) -> None:
         pass
 
+    def _leave_head(self, tag: str) -> None:
+        """Ends a head that is innermost, and begins the body unless the tag does."""
+        if self.open[-1].tag == "head":
+            while self.open[-1].tag == "head":
+                self._close({"head"}, frozenset())
+            if tag != "body" and not self.count["body"]:
+                self._push("body", {})
+
     def _push(self, tag: str, attributes: dict) -> None:
         node = Node(tag, attributes)
         self.open[-1].children.append(node)

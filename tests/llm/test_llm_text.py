@@ -110,6 +110,10 @@ PAGES = [
     ("a<!-- c --><![CDATA[x]]><![odd[y]]>b<", "ab<"),
     ("<ul><li><p>a</p><p>b</p></li></ul>", "- a\n\n  b"),
     ("<b>x<p>y</b>z", "x\n\nyz"),
+    ("<html><head><title>T</title><h1>Hi</h1><p>text", "Hi\n\ntext"),
+    ("<head> <meta charset=x><style>s</style>\n text<body class=b><p>more</body>", "text\n\nmore"),
+    ("<html><head><script>s</script><head><link rel=x><body>a</body></html>", "a"),
+    ("<head><noscript><p>n</noscript><title>T</title></head><body>a<head>b", "ab"),
 ]
 
 
