@@ -8,7 +8,12 @@ The rest is rendered: white space collapses except in ``pre``; blocks begin on a
 own, and some are set off by an empty line; list items are indented and get a bullet or number;
 table cells are padded to columns.
 
-Stylesheets, scripts and images are not evaluated. Nesting of any depth is handled without
+Formulas, text fields, the text of drawings and the options that a select displays are shown.
+Left out are: stylesheets, scripts and images, which are not evaluated (so neither are pseudo
+elements and alternative texts); what stands in for elements that browsers can show (noscript,
+iframe, object, canvas, audio, video); values, placeholders and captions that are attributes of
+input fields or groups of options; definitions in drawings that are only shown where another
+element uses them. Nesting of any depth is handled without
 recursion. Null and empty pages give an empty string.
 """
 
@@ -17,6 +22,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -26,8 +32,19 @@ from pyspark.sql import functions as F
 # Fixed by the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 NEVER = frozenset(
-    "head script style template noscript noframes noembed iframe object applet svg math canvas audio video picture map "
-    "datalist select textarea title".split()
+    "head script style template noscript noframes noembed iframe object applet canvas audio video datalist title "
+    "annotation annotation-xml".split()
+)
+# Within a drawing: where text shows, and what is only a definition or a description.
+SVG_SHOWN = frozenset(("text", "foreignobject"))
+SVG_NEVER = frozenset("defs symbol clippath mask pattern marker lineargradient radialgradient filter desc metadata".split())
+FOREIGN = frozenset(("svg", "math"))
+SVG_TAGS = SVG_SHOWN | frozenset("svg g a switch tspan textpath".split())
+# Inside these a drawing or formula holds HTML again; elsewhere in it, the start tags of the second set end it.
+HTML_AGAIN = frozenset("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
+ENDS_FOREIGN = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr "
+    "ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
 )
 # What may stand in a head; any other start tag, and text, ends it and begins the body.
 IN_HEAD = frozenset("base basefont bgsound link meta title noscript noframes script style template head".split())
@@ -37,6 +54,8 @@ BLOCK = APART | frozenset(
     "html legend li main nav optgroup option search section summary tbody td tfoot th thead tr".split()
 )
 ENDS_P = BLOCK - frozenset("body html caption td th tr tbody thead tfoot option optgroup legend".split())
+# With these all that they hold ends.
+WHOLE = NEVER | FOREIGN | SVG_SHOWN | {"select", "textarea"}
 CELLS = frozenset(("td", "th"))
 GROUPS = frozenset(("thead", "tbody", "tfoot"))
 LISTS = frozenset(("ul", "ol", "menu", "dir"))
@@ -46,6 +65,7 @@ IMPLIED_END = {
     "dt": (frozenset(("dt", "dd")), frozenset(("dl", "table", "td", "th"))),
     "dd": (frozenset(("dt", "dd")), frozenset(("dl", "table", "td", "th"))),
     "option": (frozenset(("option",)), frozenset(("select", "datalist", "optgroup"))),
+    "optgroup": (frozenset(("option", "optgroup")), frozenset(("select", "datalist"))),
     "td": (CELLS | {"caption"}, frozenset(("table", "tr"))),
     "th": (CELLS | {"caption"}, frozenset(("table", "tr"))),
     "tr": (frozenset(("tr", "caption", "colgroup")), frozenset(("table",))),
@@ -88,6 +108,12 @@ class TreeBuilder(HTMLParser):
             return
         if tag not in IN_HEAD:
             self._leave_head(tag)
+        if tag in ENDS_FOREIGN:
+            self._close(FOREIGN, HTML_AGAIN)
+        if tag in ("select", "input", "textarea") and self._has({"select"}, CELLS):
+            self._close({"select"}, CELLS)
+            if tag == "select":  # the start tag of a select in a select is its end
+                return
         if tag in ENDS_P:
             self._close({"p"}, P_SCOPE)
         if tag in IMPLIED_END:
@@ -99,9 +125,14 @@ class TreeBuilder(HTMLParser):
             self.open[-1].children.append(Node(tag, attributes))
         else:
             self._push(tag, attributes)
+        if tag == "textarea":
+            self.set_cdata_mode(tag)  # up to its end tag all is text
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
-        self.handle_starttag(tag, attrs)  # a slash at the end means nothing in HTML
+        self.handle_starttag(tag, attrs)
+        # A slash at the end means nothing in HTML, but ends an element of a drawing or formula.
+        if tag == self.open[-1].tag and self._has(FOREIGN, HTML_AGAIN - {tag}):
+            self._close({tag}, frozenset())
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "br":
@@ -109,7 +140,7 @@ class TreeBuilder(HTMLParser):
             self.open[-1].children.append(Node("br", {}))
         elif tag == "p" and not self._has({"p"}, P_SCOPE):
             self.open[-1].children.append(Node("p", {}))
-        elif tag not in BLOCK and tag not in NEVER and (at := self._has({tag}, CELLS)) and any(n.tag in BLOCK for n in self.open[at:]):
+        elif tag not in BLOCK and tag not in WHOLE and (at := self._has({tag}, CELLS)) and any(n.tag in BLOCK for n in self.open[at:]):
             # The end of an inline element leaves the blocks in it open.
             del self.open[at]
             self.count[tag] -= 1
@@ -120,7 +151,13 @@ class TreeBuilder(HTMLParser):
     def handle_data(self, data: str) -> None:
         if self.open[-1].tag == "head" and not _SPACE.fullmatch(data):
             self._leave_head("")
-        self.open[-1].children.append(data)
+        self.open[-1].children.append(unescape(data) if self.cdata_elem == "textarea" else data)
+
+    def close(self) -> None:
+        super().close()
+        if self.cdata_elem == "textarea" and self.rawdata:  # it was left open
+            self.handle_data(self.rawdata)
+            self.rawdata = ""
 
     def unknown_decl(self, data: str) -> None:
         pass
@@ -292,12 +329,32 @@ def render(root: Node) -> str:
                 apart = tag in APART
                 writer.block(apart and not (tag == "p" and writer.mark))
                 work.append(("block", apart))
+            elif tag in SVG_SHOWN or tag == "math" and (node.attributes.get("display") or "").lower() == "block":
+                writer.block(False)
+                work.append(("block", False))
+            elif tag == "tspan" and ("x" in node.attributes or "y" in node.attributes):
+                writer.newline()
+            elif tag == "svg":
+                work.extend(("svg", child, visible) for child in reversed(node.children))
+                continue
             children = node.children
+            if tag == "select":
+                children = _displayed(node)
+            elif tag == "option" and node.attributes.get("label"):
+                children = [node.attributes["label"]]
             if tag == "details" and "open" not in node.attributes:
                 children = [c for c in children if isinstance(c, Node) and c.tag == "summary"][:1]
-            if tag == "pre" and children and isinstance(children[0], str):
+            if tag in ("pre", "textarea") and children and isinstance(children[0], str):
                 children = [re.sub(r"^\r?\n", "", children[0]), *children[1:]]
             work.extend(("node", child, visible, keep) for child in reversed(children))
+        elif step[0] == "svg":
+            _, node, visible = step
+            shown = None if isinstance(node, str) or node.tag in SVG_NEVER else _shown(node, visible)
+            if shown is not None:
+                if node.tag in SVG_SHOWN:
+                    work.append(("node", node, visible, False))
+                else:
+                    work.extend(("svg", child, shown) for child in reversed(node.children))
         elif step[0] == "block":
             writers[-1].block(step[1])
         elif step[0] == "list":
@@ -344,11 +401,37 @@ def _shown(node: Node, visible: bool) -> bool | None:
         found = _VISIBILITY.search(style)
         if found:
             return found[1].lower() == "visible"
+    if node.tag in SVG_TAGS:
+        if (attributes.get("display") or "").strip().lower() == "none":
+            return None
+        said = (attributes.get("visibility") or "").strip().lower()
+        if said in ("hidden", "collapse", "visible"):
+            return said == "visible"
     return visible
 
 
+def _displayed(select: Node) -> list[Node | str]:
+    """What a select shows: all options of a list, else the chosen option's text, or the first that may be chosen."""
+    options, work = [], [(child, False) for child in reversed(select.children)]
+    while work:
+        node, off = work.pop()
+        if isinstance(node, Node):
+            off = off or "disabled" in node.attributes
+            if node.tag == "option":
+                options.append((node, off))
+            else:
+                work.extend((child, off) for child in reversed(node.children))
+    if "multiple" in select.attributes or _number(select.attributes.get("size"), 1) > 1:
+        return select.children
+    chosen = [node for node, _ in options if "selected" in node.attributes][-1:]
+    for node in chosen or [node for node, off in options if not off][:1]:
+        label = node.attributes.get("label")
+        return [label] if label else node.children
+    return []
+
+
 def _keeps(node: Node, keep: bool) -> bool:
-    if node.tag in ("pre", "listing", "xmp", "plaintext"):
+    if node.tag in ("pre", "listing", "xmp", "plaintext", "textarea"):
         return True
     style = node.attributes.get("style") if node.attributes else None
     found = _KEEPS_SPACE.search(style) if style else None

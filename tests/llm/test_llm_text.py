@@ -114,6 +114,22 @@ PAGES = [
     ("<head> <meta charset=x><style>s</style>\n text<body class=b><p>more</body>", "text\n\nmore"),
     ("<html><head><script>s</script><head><link rel=x><body>a</body></html>", "a"),
     ("<head><noscript><p>n</noscript><title>T</title></head><body>a<head>b", "ab"),
+    ("so <math><mi>a</mi><mo>=</mo><mspace/><mn>2</mn><annotation>tex</annotation></math> holds", "so a=2 holds"),
+    ("a<math display=block><mi>x</math>b<math><mi>y</mi><p>c", "a\nx\nby\n\nc"),
+    ("<div><picture><source><img>a<p>b</div>c", "a\n\nb\n\nc"),
+    ("<map name=m><area><a>in</a></map> out", "in out"),
+    ("x <textarea>\n one\n<b>&amp;two</textarea> y", "x  one\n<b>&two y"),
+    ("x <textarea>left &lt; open<p>z", "x left < open<p>z"),
+    ("<select><option>a<option selected>b <option>c</select>d", "b d"),
+    ("<select><optgroup disabled><option>a<optgroup><option>b<option>c</select> d<select></select>", "b d"),
+    ("<select><option selected hidden>pick<option>c</select><select multiple><option>e<option label=f>g</select>", "pick\ne\nf"),
+    ("<select><option>a<input>b<select><option>c<select>d", "abcd"),
+    (
+        "a<svg><title>t</title><defs><text>d</text></defs><g>w<rect/><text x=1>one<tspan>two</tspan><tspan x=1>three</tspan></text>"
+        "<text display=none>n</text></g><foreignObject><p>four</p></foreignObject></svg>b",
+        "a\nonetwo\nthree\n\nfour\n\nb",
+    ),
+    ("a<svg><defs/><g><text>b</text><p>c", "a\nb\n\nc"),
 ]
 
 
