@@ -116,7 +116,7 @@ def _prefix_length(size: int, percent: int) -> int:
     return size - -(-size * percent // 100) + 1
 
 
-_SETS = "id {id_type}, n long, set_id binary, group_id binary, prefix array<long>"
+_SETS = "id {id_type}, hash long, n long, set_id binary, group_id binary, prefix array<long>"
 
 
 def _sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -141,12 +141,13 @@ def _sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         piece.column("id"),
+                        piece.column("hash"),
                         pa.array(sizes, pa.int64()),
                         pa.array(names, pa.binary()),
                         pa.array(groups, pa.binary()),
                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
                     ],
-                    ["id", "n", "set_id", "group_id", "prefix"],
+                    ["id", "hash", "n", "set_id", "group_id", "prefix"],
                 )
 
     return stored(docs.mapInArrow(make, _SETS.format(id_type=id_type.simpleString())), "ngram-sets")
@@ -173,10 +174,10 @@ def ngram_join(
     if not 0 < percent <= 100 or width < 1:
         raise ValueError("percent is within 1 and 100, width at least 1")
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    docs = docs.withColumn("hash", F.xxhash64("text"))  # ids may repeat: id and hash tell texts apart
     sets = _sets(docs, width, percent)
-    nodes = stored(
-        sets.where("n > 0").groupBy("set_id", "group_id", "n").agg(F.min("id").alias("first_id")), "ngram-nodes"
-    )
+    named_by = [F.min("id").alias("first_id"), F.min(F.struct("id", "hash")).alias("member")]
+    nodes = stored(sets.where("n > 0").groupBy("set_id", "group_id", "n").agg(*named_by), "ngram-nodes")
     several = (F.min("set_id") != F.max("set_id")).alias("several")
     prefixes = sets.where("n > 0").groupBy("group_id").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), several)
     tokens = _shared_tokens(prefixes)
@@ -281,23 +282,24 @@ def _crossing(tokens: DataFrame, nodes: DataFrame, roots: DataFrame, percent: in
 
 
 def _members(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(set_id, id) of the nodes in pairs, with one text each."""
+    """(set_id, member) of the nodes in pairs: id and hash of one text each."""
     ends = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
-    return nodes.join(ends, "set_id", "left_semi").select("set_id", F.col("first_id").alias("id"))
+    return nodes.join(ends, "set_id", "left_semi").select("set_id", "member")
 
 
 def _hashed_sets(docs: DataFrame, members: DataFrame, width: int) -> DataFrame:
     """(set_id, n, grams) of the members, made anew from their texts."""
-    chosen = stored(members, "ngram-members").withColumnRenamed("id", "member")
-    texts = likely(docs, F.col("id"), chosen, F.col("member"))
-    texts = texts.join(chosen, texts["id"].eqNullSafe(chosen["member"])).select("set_id", "text")
+    chosen = stored(members, "ngram-members")
+    texts = likely(docs.select(F.struct("id", "hash").alias("member"), "text"), F.col("member"), chosen, F.col("member"))
+    # Equal rows become one before the shuffle, which also serves the join; fields of structs that are null are equal.
+    texts = texts.groupBy("member").agg(F.first("text").alias("text")).join(chosen, "member").select("set_id", "text")
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, "text"):
                 names, counts, grams = [], [], []
                 for name, own in zip(piece.column("set_id"), shingle_sets(piece.column("text"), width)):
-                    # A repeated id may lead to another text: keep what is truly this set.
+                    # An equal hash may lead to another text: keep what is truly this set.
                     if blake2b(own.tobytes(), digest_size=16).digest() == name.as_py():
                         names.append(name.as_py())
                         counts.append(len(own))
@@ -310,7 +312,7 @@ def _hashed_sets(docs: DataFrame, members: DataFrame, width: int) -> DataFrame:
                 )
 
     found = texts.mapInArrow(make, "set_id binary, n long, grams array<long>")
-    return stored(found, "ngram-hashed")  # a set may be there twice when ids repeat; links are a set all the same
+    return stored(found, "ngram-hashed")
 
 
 def _verified(pairs: DataFrame, hashed: DataFrame, percent: int) -> DataFrame:

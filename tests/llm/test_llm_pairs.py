@@ -130,6 +130,24 @@ def test_ngram_join_ties_members_of_a_group_without_its_head(spark):
     assert sorted((tuple(r) for r in found), key=str) == want
 
 
+def test_ngram_join_meets_one_text_a_set_when_ids_repeat(spark, monkeypatch):
+    words = [f"t{i}" for i in range(60)]
+    texts = [" ".join(f"{w}-{k}" for w in words) + f" x{i}" for k in range(8) for i in range(4)]
+    rows = [(i, text) for i in (None, 7) for text in texts[::2]] + [(7, texts[1])] * 40 + [(9, text) for text in texts]
+    read, frame = [], type(spark.range(0))
+    real = frame.mapInArrow
+
+    def counting(self, make, schema, *more):
+        if "grams" in str(schema):
+            read.append(self.count())
+        return real(self, make, schema, *more)
+
+    monkeypatch.setattr(frame, "mapInArrow", counting)
+    found = ngram_join(spark.createDataFrame(rows, DOC).repartition(3), width=3, percent=90).drop("set_id").collect()
+    assert sorted((tuple(r) for r in found), key=str) == brute_components(rows, 3, 90)
+    assert 0 < sum(read) <= len(texts)
+
+
 def test_ngram_join_of_an_empty_table_and_wrong_bounds(spark):
     assert ngram_join(spark.createDataFrame([], DOC)).count() == 0
     with pytest.raises(ValueError):
