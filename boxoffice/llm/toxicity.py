@@ -241,7 +241,11 @@ def train(
 def train_on(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_rows: int = TRAIN_ROWS, **options
 ) -> Model:
-    """Fit on labelled documents outside the held-out third. Contradicting labels of an id count as 1."""
+    """Fit on labelled documents outside the held-out third. Contradicting labels of an id count as 1.
+
+    At most ``train_rows`` ids and as many rows are learnt from. Where ids repeat beyond that,
+    rows of one id and text count once, and a hash of both chooses among them.
+    """
     chosen = (
         labels.where(~is_held_out(F.col(id_col)))
         .where("toxic in (0, 1)")
@@ -251,7 +255,17 @@ def train_on(
         .limit(train_rows)  # so many narrow rows at most may be broadcast
     )
     found = docs.select(id_col, text_col).join(F.broadcast(chosen), id_col)
-    return train(found, id_col, text_col, "toxic", None, **options)
+    return train(_bounded(found, id_col, text_col, train_rows), id_col, text_col, "toxic", None, **options)
+
+
+def _bounded(rows: DataFrame, id_col: str, text_col: str, most: int) -> DataFrame:
+    """All rows if they are at most so many, else so many different ones by a hash of id and text."""
+    if rows.count() <= most:
+        return rows
+    marked = rows.withColumn("toxicity__hash", F.xxhash64(text_col))
+    key = [id_col, "toxicity__hash"]
+    chosen = marked.select(*key).distinct().orderBy(F.xxhash64(*key), *key).limit(most)
+    return marked.join(F.broadcast(chosen), key).dropDuplicates(key).drop("toxicity__hash")
 
 
 def is_held_out(identifier: Column) -> Column:

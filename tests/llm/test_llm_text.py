@@ -273,6 +273,18 @@ def test_toxicity_of_odd_rows(spark):
     assert {r.score for r in toxicity.classify(docs, none).collect()} == {0.5}
 
 
+def test_toxicity_training_is_bounded_in_rows(spark, monkeypatch):
+    rows = [(i, f"said {i}") for i in range(40)] + [(0, f"again {i}") for i in range(100)] + [(0, "same")] * 100  # 0 is learnt from
+    docs = spark.createDataFrame(rows, DOC)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    seen, real = [], toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda examples, *more: (seen.append(len(examples)), real(examples, *more))[1])
+    learnt = labels.where(~toxicity.is_held_out(F.col("doc_id"))).count()
+    for most in (50, 1000):
+        toxicity.train_on(docs, labels, train_rows=most)
+    assert seen == [50, learnt + 200]
+
+
 def test_pipeline_stages_hold_what_they_promise(spark, tmp_path):
     docs = table(spark, SF, "documents")
     seen = [docs]
