@@ -1,10 +1,11 @@
 """Connected components of a link table by repeated local contraction.
 
 A link hangs its larger node on the smaller. In each round a link goes to a task by its lower
-node, spread over ``SALTS`` tasks by its upper one, and to the tasks of its upper node; each task
+node, spread over ``SALTS`` tasks by its upper one (over one for every ``TASK_LINKS`` links of a
+node that has many), and to the tasks of its upper node; each task
 joins what it has and hangs every node on the smallest it can reach. So a node learns where its
 parent hangs, two parents of a node learn of each other, and the ties get shorter until none
-changes. A node with very many links is spread; links never reach the driver, only their count
+changes. So no task holds a fixed share of one component; links never reach the driver, only their count
 and a checksum. Each round's result is written to the shared folder, so lineage stays short.
 """
 
@@ -13,12 +14,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boxoffice.llm.scratch import stored
+from boxoffice.llm.scratch import small, stored
 
 SALTS = 4
+# About so many links of one node go to one task, some MB there.
+TASK_LINKS = 20_000
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -27,15 +30,31 @@ def components(links: DataFrame) -> DataFrame:
     kind = ties.schema["a"].dataType.simpleString()
     before, now = None, _state(ties)
     while before != now and now[0]:
-        salt = F.pmod(F.xxhash64("a"), F.lit(SALTS))
-        below = ties.select(F.col("b").alias("key"), salt.alias("salt"), "a", "b")
-        own = ties.select(F.col("a").alias("key"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), "a", "b")
-        met = below.union(own.withColumn("salt", F.col("salt").cast("long"))).repartition("key", "salt").select("a", "b")
+        hot = _hot(ties) if now[0] > SALTS * TASK_LINKS else None
+        salt = F.pmod(F.xxhash64("a"), F.col("salts"))
+        below = _salted(ties, hot, "b").select(F.col("b").alias("key"), salt.alias("salt"), "a", "b")
+        each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))
+        own = _salted(ties, hot, "a").select(F.col("a").alias("key"), each.alias("salt"), "a", "b")
+        met = below.union(own).repartition("key", "salt").select("a", "b")
         ties = stored(_oriented(met.mapInArrow(_contract, f"a {kind}, b {kind}")), "ties")
         before, now = now, _state(ties)
     return ties.select(F.col("a").alias("node"), F.col("b").alias("root")).union(ties.select("b", "b").distinct())
 
 
+def _hot(ties: DataFrame) -> DataFrame:
+    """(hot, salts) of the nodes that are the lower end of too many ties for ``SALTS`` tasks."""
+    counted = ties.groupBy(F.col("b").alias("hot")).agg(F.count("*").alias("links")).where(F.col("links") > SALTS * TASK_LINKS)
+    return small(stored(counted.select("hot", F.ceil(F.col("links") / TASK_LINKS).cast("long").alias("salts")), "ties-hot"))
+
+
+def _salted(ties: DataFrame, hot: DataFrame | None, end: str) -> DataFrame:
+    """``ties`` with the number of tasks over which the links of the node at this end are spread."""
+    usual: Column = F.lit(SALTS).cast("long")
+    if hot is None:
+        return ties.withColumn("salts", usual)
+    return ties.join(hot, ties[end] == hot["hot"], "left").select("a", "b", F.coalesce("salts", usual).alias("salts"))
+
+
 def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Hangs every node of the links of a task on the smallest node that these links tie it to."""
     above: dict = {}

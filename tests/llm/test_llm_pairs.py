@@ -8,6 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from boxoffice.llm import components as components_module
 from boxoffice.llm.components import components
 from boxoffice.llm.exact_dedup import exact_dedup
 from boxoffice.llm.mixing import mix, source_targets
@@ -160,6 +161,30 @@ def test_components_of_a_long_path_and_loops(spark):
     assert found == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
 
 
+def test_links_of_one_node_are_spread_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(components_module, "TASK_LINKS", 50, raising=False)
+    held, frame = [], type(spark.range(0))
+    real = frame.mapInArrow
+
+    def counting(self, *more):
+        held.append(max(r["count"] for r in self.groupBy(F.spark_partition_id().alias("task")).count().collect()))
+        return real(self, *more)
+
+    monkeypatch.setattr(frame, "mapInArrow", counting)
+    conf = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in conf}
+    try:
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        links = spark.range(2000).selectExpr("id + 10 AS a", "9L AS b").union(spark.createDataFrame([(9, 3)], "a long, b long"))
+        found = dict(components(links).collect())
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert found == {3: 3, 9: 3, **{i + 10: 3 for i in range(2000)}}
+    assert held[0] < 2000 // 4
+
+
 def test_likely_keeps_all_that_is_wanted(spark):
     wanted = spark.range(0, 1000, 7).toDF("k")
     found = {r[0] for r in likely(spark.range(1000), F.col("id"), wanted, F.col("k")).collect()}
