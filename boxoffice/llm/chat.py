@@ -135,20 +135,47 @@ def _narrowed(field: T.StructField, layout: T.StructType) -> T.StructField:
 def turns_of_records(df: DataFrame, key: str, record: str, more: Mapping[str, tuple[str, Fields]] | None = None) -> DataFrame:
     """(key, turn, role, text) of JSON records, each of its own layout.
 
-    Every record's nested paths are hashed in the query itself and select its mapping. Records
-    of an unknown layout, null and broken JSON give no turn; ``record_fingerprint`` tells them.
+    Every record's nested paths are hashed in the query itself and select its mapping; else, as
+    keys may be added and values null, the largest known layout whose paths are all there does.
+    ``unmapped_records`` returns the others, null and broken JSON among them.
     """
-    parsed = df.select(F.col(key).alias("key"), F.try_parse_json(F.col(record)).alias("record"))
+    marked = _mapped(df, F.col(key), record, more)
+    rows = marked.select("key", F.posexplode("turns").alias("turn", "said"))
+    return _canonical(rows.select("key", F.col("turn").cast("long"), "said.role", "said.text"))
+
+
+def unmapped_records(df: DataFrame, key: str, record: str, more: Mapping[str, tuple[str, Fields]] | None = None) -> DataFrame:
+    """(key, record) of the records that no known layout fits."""
+    return _mapped(df, F.col(key), record, more).where("turns IS NULL").select("key", F.col("raw").alias("record"))
+
+
+def _mapped(df: DataFrame, key: Column, record: str, more: Mapping[str, tuple[str, Fields]] | None) -> DataFrame:
+    """(key, raw, turns): turns is null if no layout fits."""
+    parsed = df.select(key.alias("key"), F.col(record).alias("raw"), F.try_parse_json(F.col(record)).alias("record"))
     marked = parsed.withColumn("schema", F.schema_of_variant("record"))
-    empty = F.array().cast("array<struct<role: string, text: string>>")
-    turns = empty
-    for ddl, mapping in {**LAYOUTS, **(more or {})}.values():
-        if mapping.turns is None and not mapping.single:
-            continue
+    layouts = [(T._parse_datatype_string(d), d, m) for d, m in {**LAYOUTS, **(more or {})}.values() if m.turns or m.single]
+    turns = F.lit(None).cast("array<struct<role: string, text: string>>")
+    for kind, _, mapping in sorted(reversed(layouts), key=lambda layout: len(layout[0].fields)):  # the largest comes last, so first
+        turns = F.when(_there(F.col("record"), kind), _record_turns(mapping)).otherwise(turns)
+    for _, ddl, mapping in layouts:
         found = F.sha2("schema", 256) == F.lit(record_fingerprint(ddl))
         turns = F.when(found, _record_turns(mapping)).otherwise(turns)
-    rows = marked.select("key", F.posexplode(turns).alias("turn", "said"))
-    return _canonical(rows.select("key", F.col("turn").cast("long"), "said.role", "said.text"))
+    return marked.select("key", "raw", turns.alias("turns"))
+
+
+def _there(value: Column, kind: T.DataType) -> Column:
+    """Whether a variant has all paths of a layout; null counts as any leaf."""
+    if isinstance(kind, T.StructType):
+        found = F.lit(True)
+        for field in kind.fields:
+            found = found & _there(F.try_variant_get(value, f"$.{field.name}", "variant"), field.dataType)
+        return found
+    if isinstance(kind, T.ArrayType):
+        return F.coalesce(
+            F.forall(F.try_variant_get(value, "$", "array<variant>"), lambda one: _there(one, kind.elementType)), F.lit(False)
+        )
+    leaf = "STRING" if isinstance(kind, T.StringType) else "BIGINT"
+    return F.coalesce(F.schema_of_variant(value).isin(leaf, "VOID"), F.lit(False))
 
 
 def record_fingerprint(ddl: str) -> str:

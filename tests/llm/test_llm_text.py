@@ -79,6 +79,21 @@ def test_records_of_mixed_layouts(spark):
     assert [(r.key, r.role, r.text) for r in found] == [(i, *t) for i in range(4) for t in (("user", "q"), ("assistant", "a"))]
 
 
+def test_records_with_more_keys_and_nulls(spark):
+    records = [
+        {"prompt": "q", "response": "a", "id": 5},
+        {"instruction": "q", "input": None, "output": "a"},
+        {"messages": [{"role": "user", "content": "q", "n": 1}, {"role": "assistant", "content": "a", "n": None}], "id": "x"},
+        {"prompt": "q", "response": 7},
+        {"messages": [{"role": "user", "content": [1]}]},
+    ]
+    rows = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(records)] + [(7, None), (8, "{broken")], "id int, record string")
+    found = chat.turns_of_records(rows, "id", "record").orderBy("key", "turn").collect()
+    assert [(r.key, r.role, r.text) for r in found] == [(i, *t) for i in range(3) for t in (("user", "q"), ("assistant", "a"))]
+    left = {r.key: r.record for r in chat.unmapped_records(rows, "id", "record").collect()}
+    assert left == {3: json.dumps(records[3]), 4: json.dumps(records[4]), 7: None, 8: "{broken"}
+
+
 def test_chat_query_keeps_the_hard_conversation(spark):
     found = {r.conv_id: r for r in op8_chat(spark, SF).collect()}
     said = "\\### Assistant: </turn> ok"
