@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxoffice.llm import bpe, chat
+from boxoffice.llm import bpe, chat, merkle, quality, turn_repair
+from boxoffice.llm import statements as sql
 from boxoffice.llm.exact_dedup import exact_dedup
 from boxoffice.llm.html_text import visible_text
 from boxoffice.llm.lengths import length_histogram, suffix_sums
@@ -122,6 +124,35 @@ def op10_html_text(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """A quality score for every document, learnt from pairs outside the held-out quarter of the labels."""
+    docs = table(spark, folder, "documents")
+    scored = quality.classify(docs, quality.train_on(docs, table(spark, folder, "labels")))
+    return scored.select("doc_id", quality.is_held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op12_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation, damaged at random, with its faults and its cheapest repair."""
+    rows = turn_repair.damaged(table(spark, folder, "conversations"))
+    return turn_repair.digests(turn_repair.repair(rows))
+
+
+def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's proof of membership, tested with every fifth text tampered with."""
+    docs = table(spark, folder, "documents")
+    before = [F.col(name) for name in ("doc_id", "source", "lang", "n_chars")]
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    rows = docs.select(
+        "doc_id",
+        "source",
+        merkle.leaf_hash([*before, F.col("text")]).alias("leaf"),
+        F.when(tampered, merkle.leaf_hash([*before, lowered])).alias("claim"),
+    )
+    proofs = merkle.prove(merkle.build(rows, "source", "doc_id", "leaf", "claim"))
+    return proofs.withColumnRenamed("key", "doc_id")
+
+
 def registered() -> dict[str, Query]:
     return {
         "op1_wavelet": op1_wavelet,
@@ -134,12 +165,21 @@ def registered() -> dict[str, Query]:
         "op8_chat": op8_chat,
         "op9_mixing": op9_mixing,
         "op10_html_text": op10_html_text,
+        "op11_quality": op11_quality,
+        "op12_turn_repair": op12_turn_repair,
+        "op13_merkle": op13_merkle,
     }
 
 
 def statements() -> dict[str, str]:
     """The same rows as SQL, where SQL can express the operator."""
-    return {"op4_exact_dedup": EXACT_DEDUP, "op8_chat": CHAT, "op9_mixing": MIXING}
+    return {
+        "op4_exact_dedup": EXACT_DEDUP,
+        "op8_chat": CHAT,
+        "op9_mixing": MIXING,
+        "op12_turn_repair": sql.turn_repair(),
+        "op13_merkle": sql.merkle(),
+    }
 
 
 EXACT_DEDUP = r"""
