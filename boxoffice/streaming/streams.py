@@ -36,12 +36,14 @@ def stream_upsert(
     """Upsert every micro-batch of a raw stream into a silver table, then stop when drained.
 
     The state keeps every key, so no watermark is needed and a record may arrive any time later.
-    Batches may hold older versions, and a batch is repeated after a failure: the newest version
-    wins in either case, so the table ends as a full refresh of the same records would leave it.
+    Batches may hold older versions: the newest version wins, so the table ends as a full refresh
+    of the same records would leave it. A batch's number is stored in the same step as its rows,
+    under the name of the checkpoint, so a batch that is repeated after a failure is skipped; one that
+    stopped half-way is first rolled forward.
     """
 
-    def merge(batch: DataFrame, _batch_id: int) -> None:
-        upsert(store, batch, name, shape)
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        upsert(store, batch, name, shape, checkpoint, batch_id)
 
     return (
         source.writeStream.foreachBatch(merge)

@@ -1,0 +1,259 @@
+"""What a batch touches, what a stopped run leaves, and what is kept with a table."""
+
+import datetime as dt
+import glob
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from boxoffice.functions.dates import as_day, as_instant
+from boxoffice.plans import incremental
+from boxoffice.plans.build import run, shapes
+from boxoffice.plans.incremental import KEYS, build_incremental, bucket_of, is_first_run, upsert
+from boxoffice.plans.silver import table_of
+from boxoffice.schemas import TABLES
+from boxoffice.sources.star_schema import raw_from_star
+from boxoffice.sources.store import LayerStore
+from boxoffice.streaming import streams
+from boxoffice.streaming.streams import raw_stream, stream_upsert
+from conftest import SF, at, channel, customer, frame, rates, raw_tables, rows_of, ticket
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    return LayerStore(spark, str(tmp_path / "lake"))
+
+
+def shape_of(spark, name):
+    return shapes(rates(spark), as_day("2024-06-01"), as_instant("2024-06-01T00:00:00"))[name]
+
+
+def files(path):
+    return {name: os.stat(name).st_mtime_ns for name in glob.glob(f"{path}/**/*.parquet", recursive=True)}
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def same_as_full(spark, store, name, rows):
+    expected = table_of(shape_of(spark, name)(frame(spark, name, rows)), name).drop("_loaded_at")
+    assert rows_of(store.read("silver", name), *expected.columns) == rows_of(expected)
+
+
+def test_a_batch_of_one_customer_rewrites_one_bucket(spark, store, monkeypatch):
+    monkeypatch.setattr(incremental, "BUCKET_ROWS", 8)
+    rows = [customer(f"c{i}", ingested_at=at(1)) for i in range(80)]
+    shape = shape_of(spark, "customers")
+    upsert(store, frame(spark, "customers", rows), "customers", shape)
+    assert store.facts("silver", "customers")["buckets"] == 10
+    before = files(store.location("silver", "customers"))
+    assert len({os.path.dirname(name) for name in before}) == 10
+    newer = [customer("c7", first_name="Bea", ingested_at=at(2))]
+    upsert(store, frame(spark, "customers", newer), "customers", shape)
+    after = files(store.location("silver", "customers"))
+    changed = {os.path.dirname(name) for name in before.items() ^ after.items() for name in name[:1]}
+    bucket = frame(spark, "customers", newer).select(bucket_of(TABLES["customers"], 10)).first()[0]
+    assert [os.path.basename(path) for path in changed] == [f"bucket={bucket}"]
+    same_as_full(spark, store, "customers", rows + newer)
+    assert store.facts("silver", "customers")["rows"] == 80
+
+
+def test_a_batch_of_one_ticket_reads_one_bucket_of_keys(spark, store, monkeypatch):
+    monkeypatch.setattr(incremental, "BUCKET_ROWS", 8)
+    rows = [ticket(f"t{i}", purchase_timestamp=at(1 + i % 9)) for i in range(80)]
+    shape = shape_of(spark, "tickets")
+    upsert(store, frame(spark, "tickets", rows), "tickets", shape)
+    assert store.facts(KEYS, "tickets")["buckets"] == 10
+    moved = ticket("t5", purchase_timestamp=at(20), ingested_at=at(3))
+    versions = incremental.newest(shape(frame(spark, "tickets", [moved])), "tickets")
+    known = incremental._known_days(store, versions, TABLES["tickets"])
+    bucket = versions.select(bucket_of(TABLES["tickets"], 10)).first()[0]
+    scan = next(line for line in plan_of(known).splitlines() if "PartitionFilters" in line)
+    assert "bucket#" in scan.split("PartitionFilters")[1] and f"= {bucket})" in scan.split("PartitionFilters")[1]
+    read = known.select(F.input_file_name()).collect()
+    assert read and {os.path.basename(os.path.dirname(row[0])) for row in read} == {f"bucket={bucket}"}
+    before = files(store.location("silver", "tickets"))
+    upsert(store, frame(spark, "tickets", [moved]), "tickets", shape)
+    after = files(store.location("silver", "tickets"))
+    days = {os.path.basename(os.path.dirname(name)) for name, _ in before.items() ^ after.items()}
+    assert days == {"purchase_date=2024-01-06", "purchase_date=2024-01-20"}
+    same_as_full(spark, store, "tickets", rows + [moved])
+
+
+def test_a_ticket_that_moves_often_is_stored_once(spark, store, monkeypatch):
+    monkeypatch.setattr(incremental, "ADDITIONS", 2)
+    rows = [ticket("t1"), ticket("t2")]
+    shape = shape_of(spark, "tickets")
+    upsert(store, frame(spark, "tickets", rows), "tickets", shape)
+    for day in (3, 9, 4, 9, 2):
+        rows.append(ticket("t1", purchase_timestamp=at(day), ingested_at=at(3, len(rows))))
+        upsert(store, frame(spark, "tickets", rows[-1:]), "tickets", shape)
+        same_as_full(spark, store, "tickets", rows)
+    assert store.facts(KEYS, "tickets")["additions"] <= 2
+    assert store.facts("silver", "tickets")["rows"] == 2
+
+
+def test_buckets_are_dealt_anew_when_they_have_grown(spark, store, monkeypatch):
+    monkeypatch.setattr(incremental, "BUCKET_ROWS", 4)
+    shape = shape_of(spark, "customers")
+    rows = [customer(f"c{i}", ingested_at=at(1)) for i in range(4)]
+    upsert(store, frame(spark, "customers", rows), "customers", shape)
+    for step in range(3):
+        more = [customer(f"d{step}-{i}", ingested_at=at(2)) for i in range(20)]
+        rows += more
+        upsert(store, frame(spark, "customers", more), "customers", shape)
+    assert store.facts("silver", "customers")["buckets"] > 1
+    same_as_full(spark, store, "customers", rows)
+
+
+def test_mark_and_rows_are_kept_with_the_version(spark, store, monkeypatch):
+    shape = shape_of(spark, "channels")
+    first = [channel("ch1", ingested_at=at(1)), channel("ch2", is_active=False, ingested_at=at(9))]
+    upsert(store, frame(spark, "channels", first), "channels", shape)
+    micros = int(at(1).timestamp() * 1e6)
+    facts = store.facts("silver", "channels")
+    assert (facts["rows"], facts["high_water"]) == (2, micros)
+    upsert(store, frame(spark, "channels", [channel("ch3", ingested_at=at(4))]), "channels", shape)
+    facts = store.facts("silver", "channels")
+    assert (facts["rows"], facts["high_water"]) == (3, int(at(4).timestamp() * 1e6))
+    # The next run starts from them; the target is not scanned.
+    monkeypatch.setattr(LayerStore, "read", lambda *_: pytest.fail("the target was read"))
+    monkeypatch.setattr(LayerStore, "read_all", lambda *_: pytest.fail("the target was read"))
+    assert not is_first_run(store, "channels", False)
+
+
+class Stopped(Exception):
+    pass
+
+
+@pytest.mark.parametrize("point", ["write", "clear", "move", "facts", "keys"])
+@pytest.mark.parametrize("name", ["tickets", "customers"])
+def test_a_stopped_run_is_rolled_forward(spark, store, monkeypatch, name, point):
+    shape = shape_of(spark, name)
+    make = {"tickets": ticket, "customers": customer}[name]
+    extra = {"tickets": {"purchase_timestamp": at(9)}, "customers": {"first_name": "Bea"}}[name]
+    old = [make(f"k{i}", ingested_at=at(2)) for i in range(6)]
+    new = [make("k1", **{**extra, "ingested_at": at(3)}), make("k9", ingested_at=at(3))]
+    upsert(store, frame(spark, name, old), name, shape)
+
+    calls = []
+
+    def stop(real, after):
+        def stopped(self, *args, **options):
+            calls.append(args)
+            if len(calls) > after:
+                raise Stopped
+            return real(self, *args, **options)
+
+        return stopped
+
+    method, after = {
+        "write": ("_roll_forward", 0),
+        "clear": ("_delete", 1),
+        "move": ("_move", 1),
+        "facts": ("_move", 10_000),
+        "keys": ("replace_parts", 0),
+    }[point]
+    with monkeypatch.context() as patch:
+        if point == "facts":
+            put = LayerStore._put
+
+            def put_but_facts(self, path, text):
+                if "facts-" in path and "/silver/" in path:
+                    raise Stopped
+                put(self, path, text)
+
+            patch.setattr(LayerStore, "_put", put_but_facts)
+        else:
+            patch.setattr(LayerStore, method, stop(getattr(LayerStore, method), after))
+        with pytest.raises(Stopped):
+            upsert(store, frame(spark, name, new), name, shape)
+    unfinished = point not in ("keys",)
+    assert store.is_unfinished("silver", name) == unfinished
+    if unfinished:
+        with pytest.raises(FileNotFoundError, match="cut off"):
+            store.read("silver", name)
+    # Another batch: what was begun is finished first, and only the days or buckets of both are touched.
+    last = [make("k2", ingested_at=at(4))]
+    upsert(store, frame(spark, name, last), name, shape)
+    assert not store.is_unfinished("silver", name)
+    same_as_full(spark, store, name, old + last + (new if unfinished else []))
+    upsert(store, frame(spark, name, new), name, shape)
+    same_as_full(spark, store, name, old + last + new)
+    assert store.facts("silver", name)["rows"] == 7
+    assert not glob.glob(f"{store.root('silver', name)}/pending-*")
+
+
+def test_recovery_moves_single_files_where_a_folder_is_there_in_part(spark, store, tmp_path):
+    source, target = tmp_path / "from", tmp_path / "to"
+    for folder, names in ((source, "bc"), (target, "ab")):
+        folder.mkdir()
+        for name in names:
+            (folder / name).write_text(str(folder.name))
+    store._move(str(source), str(target))
+    assert sorted(p.name for p in target.iterdir()) == ["a", "b", "c"]
+    store._move(str(tmp_path / "none"), str(target))  # nothing left to move
+
+
+def test_the_stream_goes_on_after_a_stop_and_skips_a_repeated_batch(spark, store, tmp_path, monkeypatch):
+    landing, log = str(tmp_path / "landing"), str(tmp_path / "log")
+    tickets = raw_from_star(spark, SF).tickets.where(F.col("purchase_timestamp") < "1995-03-01")
+    slots = F.pmod(F.xxhash64("ticket_id"), F.lit(4))
+    for i in range(4):
+        tickets.where(slots == i).coalesce(1).write.mode("append").parquet(f"{landing}/tickets")
+    shape = shape_of(spark, "tickets")
+
+    def drain():
+        source = raw_stream(spark, landing, "tickets", files_per_batch=1)
+        stream_upsert(source, store, "tickets", shape, log).awaitTermination()
+
+    real, seen = streams.upsert, []
+
+    def stops_behind_the_second(*args):
+        real(*args)
+        seen.append(args[-1])
+        if len(seen) == 2:
+            raise Stopped
+
+    monkeypatch.setattr(streams, "upsert", stops_behind_the_second)
+    with pytest.raises(Exception, match="Stopped"):
+        drain()
+    assert store.facts("silver", "tickets")["applied"] == {log: 1}
+    before = files(store.location("silver", "tickets"))
+    left = []
+
+    def watched(*args):
+        real(*args)
+        left.append((args[-1], files(store.location("silver", "tickets")) == before))
+
+    monkeypatch.setattr(streams, "upsert", watched)
+    drain()
+    assert left[0] == (1, True) and [number for number, _ in left] == [1, 2, 3]
+    expected = table_of(shape(tickets), "tickets").drop("_loaded_at")
+    assert rows_of(store.read("silver", "tickets"), *expected.columns) == rows_of(expected)
+
+
+def test_literal_merge_of_a_whole_run(spark, tmp_path):
+    base = str(tmp_path / "lake")
+    options = {"as_of": "2024-06-01", "run_ts": "2024-06-01T00:00:00", "literal_merge": True, "layers": ["seeds", "silver"]}
+    run(spark, raw_tables(spark, channels=[channel("ch1", ingested_at=at(1))]), base, **options)
+    closed = [channel("ch1", is_active=False, ingested_at=at(2)), channel("ch2", ingested_at=at(2))]
+    moved = [ticket("t1", purchase_timestamp=at(5), ingested_at=at(3)), ticket("t2", ingested_at=at(3))]
+    run(spark, raw_tables(spark, channels=closed, tickets=moved), base, **options)
+    store = LayerStore(spark, base)
+    # A row that the filter hides later stays as it was.
+    assert rows_of(store.read("silver", "channels"), "channel_id") == [("ch1",), ("ch2",)]
+    assert rows_of(store.read("silver", "tickets"), "ticket_id", "purchase_date") == [
+        ("t1", dt.date(2024, 1, 5)),
+        ("t2", dt.date(2024, 1, 1)),
+    ]
+
+
+def test_incremental_of_an_empty_batch(spark, store):
+    shape = shape_of(spark, "tickets")
+    upsert(store, frame(spark, "tickets", [ticket("t1")]), "tickets", shape)
+    upsert(store, frame(spark, "tickets", []), "tickets", shape)
+    build_incremental(store, frame(spark, "tickets", []), "tickets", shape)
+    assert rows_of(store.read("silver", "tickets"), "ticket_id") == [("t1",)]
