@@ -3,11 +3,14 @@
 Tickets are aggregated to a grain of plain ids before anything is joined that the aggregate does
 not need, so descriptions are attached to report rows, not to tickets. Only what decides whether
 a ticket counts, or in which group, is looked up per ticket.
+
+Reports with distinct counts first roll the measures up to the ids that are counted. All figures
+come from those rows, so tickets are read once and never copied for a distinct count.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from boxoffice.functions.dates import days_between, year_month
@@ -42,6 +45,28 @@ def _or_zero(value: Column, matched: Column) -> Column:
     return F.when(matched.isNull(), F.lit(0).cast("bigint")).otherwise(value)
 
 
+_MEASURES = ("total", "booked", "cancelled", "refunded", "priced", "booked_cents")
+
+
+def rolled_up(tickets: DataFrame, *grain: Column | str) -> DataFrame:
+    """Measures of tickets, and their last day of sale where it is known, at a grain of ids."""
+    last = [F.max("purchase_date").alias("last_purchase_date")] if "purchase_date" in tickets.columns else []
+    return tickets.groupBy(*grain).agg(
+        F.count("*").alias("total"),
+        count_status(BOOKED).alias("booked"),
+        count_status(CANCELLED).alias("cancelled"),
+        count_status(REFUNDED).alias("refunded"),
+        valued(BOOKED).alias("priced"),
+        usd_cents(BOOKED).alias("booked_cents"),
+        *last,
+    )
+
+
+def _summed(*names: str) -> list[Column]:
+    """Measures of a coarser grain from those of a finer one."""
+    return [F.sum(name).alias(name) for name in names or _MEASURES]
+
+
 def ticket_sales_daily(silver: Tables) -> DataFrame:
     """Event x day x platform x channel. Closed channels share one row with no channel."""
     channels = dimension(silver.channels.select("channel_id", "channel_name", "channel_type"))
@@ -97,15 +122,14 @@ def ticket_sales_daily(silver: Tables) -> DataFrame:
 
 
 def event_performance(silver: Tables) -> DataFrame:
-    per_event = silver.tickets.groupBy("event_id").agg(
-        F.count("ticket_id").alias("total"),
-        count_status(BOOKED).alias("booked"),
-        count_status(CANCELLED).alias("cancelled"),
-        count_status(REFUNDED).alias("refunded"),
-        valued(BOOKED).alias("priced"),
-        usd_cents(BOOKED).alias("booked_cents"),
-        F.count_distinct("customer_id").alias("customers"),
-        F.count_distinct("channel_id").alias("channels"),
+    measured = rolled_up(
+        silver.tickets.select("event_id", "customer_id", "channel_id", "ticket_status", "face_value_usd"),
+        "event_id",
+        "customer_id",
+        "channel_id",
+    )
+    per_event = measured.groupBy("event_id").agg(
+        *_summed(), F.count_distinct("customer_id").alias("customers"), F.count_distinct("channel_id").alias("channels")
     )
     joined = silver.events.join(per_event, "event_id", "left")
     matched = F.col("total")
@@ -145,19 +169,30 @@ def preferred_channel(silver: Tables) -> DataFrame:
 
 
 def customer_behaviour(silver: Tables, as_of: Column) -> DataFrame:
-    per_customer = silver.tickets.groupBy("customer_id").agg(
-        F.count("ticket_id").alias("total"),
-        count_status(BOOKED).alias("booked"),
-        count_status(CANCELLED).alias("cancelled"),
-        count_status(REFUNDED).alias("refunded"),
-        valued(BOOKED).alias("priced"),
-        usd_cents(BOOKED).alias("booked_cents"),
-        F.max("purchase_date").alias("last_purchase_date"),
-        F.count_distinct("event_id").alias("events"),
+    measured = rolled_up(
+        silver.tickets.select(
+            "customer_id", "event_id", "channel_id", "ticket_status", "face_value_usd", "purchase_date"
+        ),
+        "customer_id",
+        "event_id",
+        "channel_id",
+    )
+    # An event counts once for a customer: with the first of its channels.
+    first = F.row_number().over(Window.partitionBy("customer_id", "event_id").orderBy("channel_id")) == 1
+    counted = measured.withColumn("events", (first & F.col("event_id").isNotNull()).cast("bigint"))
+    by_channel = counted.groupBy("customer_id", "channel_id").agg(
+        *_summed(*_MEASURES, "events"), F.max("last_purchase_date").alias("last_purchase_date")
     )
-    joined = silver.customers.join(per_customer, "customer_id", "left").join(
-        preferred_channel(silver), "customer_id", "left"
+    names = silver.channels.select("channel_id", "channel_name", F.lit(True).alias("active"))
+    named = attach(by_channel, dimension(names), "channel_id", "left")
+    # Most booked tickets first, then the lowest id; a channel without any does not count.
+    preference = F.when(F.col("active") & (F.col("booked") > 0), F.struct(-F.col("booked"), F.col("channel_id")))
+    per_customer = named.groupBy("customer_id").agg(
+        *_summed(*_MEASURES, "events"),
+        F.max("last_purchase_date").alias("last_purchase_date"),
+        F.min_by("channel_name", preference).alias("preferred_channel"),
     )
+    joined = silver.customers.join(per_customer, "customer_id", "left")
     matched = F.col("total")
     return joined.select(
         "customer_id",
@@ -225,8 +260,8 @@ def top_channel(by_channel: DataFrame) -> DataFrame:
 def regional_summary(silver: Tables) -> DataFrame:
     """Region x month.
 
-    Everything but the two distinct counts comes from the small region x month x channel table,
-    so the ticket rows are expanded for those two only.
+    Revenue, active channels and the top channel come from one chain of ever smaller aggregates;
+    the ticket counts and the two distinct counts from rows that hold a customer and event once a group.
     """
     placed = _placed_tickets(silver)
     by_channel = channel_sales_by_region(silver, placed)
@@ -235,16 +270,28 @@ def regional_summary(silver: Tables) -> DataFrame:
         kind: F.sum(F.when(F.col("channel_type") == kind, F.col("booked_cents")).otherwise(zero))
         for kind in SPLIT_TYPES
     }
-    base = by_channel.groupBy(*REGION_MONTH).agg(
-        F.sum("booked").alias("tickets_sold"),
-        F.sum("cancelled").alias("tickets_cancelled"),
-        F.sum("refunded").alias("tickets_refunded"),
-        F.sum("booked_cents").alias("total_cents"),
-        *[total.alias(kind) for kind, total in of_type.items()],
+    by_name = by_channel.groupBy(*REGION_MONTH, "channel_name").agg(
+        *_summed("booked_cents"),
+        *[cents.alias(kind) for kind, cents in of_type.items()],
         F.sum(F.when(F.col("channel_id").isNull(), F.col("booked_cents")).otherwise(zero)).alias("unattributed"),
         F.count("channel_id").alias("active_channels"),
     )
-    reach = placed.groupBy(*REGION_MONTH).agg(
+    # Most revenue first, none at all last, then the lowest name; a group without region or month has no top channel.
+    revenue = F.col("booked_cents")
+    ranked = F.col("channel_name").isNotNull()
+    for name in REGION_MONTH:
+        ranked = ranked & F.col(name).isNotNull()
+    place = F.when(ranked, F.struct(revenue.isNull(), -revenue, F.col("channel_name")))
+    base = by_name.groupBy(*REGION_MONTH).agg(
+        F.sum("booked_cents").alias("total_cents"),
+        *_summed(*of_type, "unattributed", "active_channels"),
+        F.min_by("channel_name", place).alias("top_channel_by_revenue"),
+    )
+    met = rolled_up(placed, *REGION_MONTH, "customer_id", "event_id")
+    reach = met.groupBy(*REGION_MONTH).agg(
+        F.sum("booked").alias("tickets_sold"),
+        F.sum("cancelled").alias("tickets_cancelled"),
+        F.sum("refunded").alias("tickets_refunded"),
         F.count_distinct("customer_id").alias("unique_customers"),
         F.count_distinct("event_id").alias("unique_events"),
     )
@@ -253,7 +300,6 @@ def regional_summary(silver: Tables) -> DataFrame:
     for name in REGION_MONTH:
         same_group = same_group & base[name].eqNullSafe(reach[name])
     joined = base.join(reach, same_group).drop(*[reach[name] for name in REGION_MONTH])
-    joined = joined.join(top_channel(by_channel), REGION_MONTH, "left")
     total = F.col("total_cents")
     label = [
         part
@@ -286,24 +332,17 @@ def channel_performance(silver: Tables) -> DataFrame:
         "ticket_status",
         "face_value_usd",
     )
-    monthly = (
-        _of_known_events(sold, silver)
-        .groupBy(MONTH, "channel_id")
-        .agg(
-            F.count("*").alias("total"),
-            count_status(BOOKED).alias("booked"),
-            count_status(CANCELLED).alias("cancelled"),
-            count_status(REFUNDED).alias("refunded"),
-            valued(BOOKED).alias("priced"),
-            usd_cents(BOOKED).alias("booked_cents"),
-            F.count_distinct("customer_id").alias("unique_customers"),
-            F.count_distinct("event_id").alias("unique_events"),
-        )
+    measured = rolled_up(_of_known_events(sold, silver), MONTH, "channel_id", "customer_id", "event_id")
+    monthly = measured.groupBy(MONTH, "channel_id").agg(
+        *_summed(),
+        F.count_distinct("customer_id").alias("unique_customers"),
+        F.count_distinct("event_id").alias("unique_events"),
     )
     channels = silver.channels.select("channel_id", "channel_name", "channel_type", "platform_id")
     platforms = silver.platforms.select("platform_id", "platform_name", "platform_region")
     attributed = monthly.join(channels, "channel_id").join(platforms, "platform_id")
-    shared = share_of_total(attributed, [MONTH], "booked_cents", "channel_revenue_share_pct")
+    # A month has one row a channel here.
+    shared = share_of_total(attributed, [MONTH], "booked_cents", "channel_revenue_share_pct", small_groups=True)
     return shared.select(
         MONTH,
         "channel_id",
