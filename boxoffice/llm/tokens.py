@@ -17,6 +17,8 @@ from boxoffice.llm.words import ASCII_SPACE, distinct, hashes, spans
 
 # Distinct pieces a Python worker remembers; beyond it the memory starts anew. About 60 bytes each.
 REMEMBERED = 2_500_000
+# The same where a lexicon knows the frequent ones, so that what is remembered is seldom seen again.
+REMEMBERED_BESIDE_LEXICON = 250_000
 
 Cut = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
@@ -92,15 +94,16 @@ class Encoder:
         self.encode = encode
         # known: (flat ids, begin of each, count of each, find); a lexicon that is asked first.
         self.known = known
+        self.most = REMEMBERED_BESIDE_LEXICON if known else REMEMBERED
         self._clear()
 
     def _clear(self) -> None:
         self.codes = np.zeros(0, np.uint64)
-        self.slots = np.zeros(0, np.int64)
+        self.slots = np.zeros(0, np.int32)
         self.flat = self.known.ids.copy() if self.known else np.zeros(0, np.int32)
         self.used = len(self.flat)
         self.begin = self.known.begin.astype(np.int64) if self.known else np.zeros(0, np.int64)
-        self.count = self.known.count.astype(np.int64) if self.known else np.zeros(0, np.int64)
+        self.count = self.known.count.astype(np.int32) if self.known else np.zeros(0, np.int32)
         self.words = len(self.begin)
 
     def _append(self, ids: np.ndarray, counts: np.ndarray) -> None:
@@ -113,7 +116,7 @@ class Encoder:
 
     def _places(self, buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray, codes: np.ndarray) -> np.ndarray:
         """Where the ids of each distinct piece are."""
-        if len(self.codes) > REMEMBERED:
+        if len(self.codes) > self.most:
             self._clear()
         places = np.full(len(codes), -1, np.int64)
         if self.known:
@@ -127,7 +130,7 @@ class Encoder:
         if len(fresh):
             raw = buffer.tobytes()
             words = [raw[a:b] for a, b in zip(starts[fresh].tolist(), ends[fresh].tolist())]
-            slots = self.words + np.arange(len(fresh))
+            slots = self.words + np.arange(len(fresh), dtype=np.int32)
             self._append(*self.encode(words))
             self.codes = np.insert(self.codes, at, codes[fresh])
             self.slots = np.insert(self.slots, at, slots)
@@ -138,14 +141,14 @@ class Encoder:
         """All ids in order, and how many each piece has."""
         codes, first, went = distinct(hashes(buffer, starts, ends))
         places = self._places(buffer, starts[first], ends[first], codes)
-        begin, counts = self.begin[places][went], self.count[places][went]
+        begin, counts = self.begin[places][went], self.count[places][went].astype(np.int64)
         return self.flat[ranges(begin, counts)], counts
 
     def counts(self, buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """How many ids each piece has."""
         codes, first, went = distinct(hashes(buffer, starts, ends))
         places = self._places(buffer, starts[first], ends[first], codes)  # may replace the table it points into
-        return self.count[places][went]
+        return self.count[places][went].astype(np.int64)
 
 
 def ranges(begin: np.ndarray, counts: np.ndarray) -> np.ndarray:

@@ -70,6 +70,8 @@ def pieces(batch: pa.RecordBatch, text: str, most_bytes: int = 1 << 20) -> Itera
         stop = min(max(stop, at + 1), batch.num_rows)
         yield batch.slice(at, stop - at)
         at = stop
+    # Workers live on between stages; what Arrow has freed goes back to the machine.
+    pa.default_memory_pool().release_unused()
 
 
 def _byte_lengths(column: pa.Array) -> np.ndarray:
