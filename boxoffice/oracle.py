@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from boxoffice.plans.checks import CHECKS
 from boxoffice.queries import AS_OF, RUN_TS
+from boxoffice.schemas import RAW
 from boxoffice.sources.seeds import packaged_rates
 from boxoffice.sources.star_schema import CURRENCIES
 
@@ -341,6 +342,9 @@ def _check_rows(layer: str, relation: dict[str, str], singular: bool) -> str:
     return "\nUNION ALL ".join(rows)
 
 
+_PERSONAL = [
+    (field.name, field.metadata["comment"]) for field in RAW["customers"].fields if field.metadata["pii"]
+]
 _OVERSOLD = """SELECT event_id, event_name, tickets_sold, event_capacity, sell_through_rate_pct
   FROM event_performance WHERE sell_through_rate_pct > 100 AND event_capacity > 0"""
 _SHARE_TOTALS = """SELECT year_month,
@@ -391,6 +395,12 @@ def statements() -> dict[str, str]:
           SELECT upper(trim(currency)) AS currency, count(*) AS ticket_rows, sum(face_value) AS face_value
           FROM raw_tickets GROUP BY 1) u LEFT JOIN rates ON u.currency = from_currency""",
     )
+    s["seed_from_csv"] = _with(
+        RAW_TICKETS,
+        RATES,
+        select="""SELECT upper(trim(currency)) AS currency, count(*) AS ticket_rows, any_value(rate)::DOUBLE AS rate
+        FROM raw_tickets JOIN rates ON upper(trim(currency)) = from_currency GROUP BY 1""",
+    )
     s["clean_text"] = _with(
         RAW_EVENTS,
         select=f"""SELECT event_id, {_title("venue_name")} AS title, upper(trim(venue_country)) AS upper_code,
@@ -545,6 +555,11 @@ def statements() -> dict[str, str]:
         WHERE ticket_id IS NULL OR event_id IS NULL OR customer_id IS NULL OR purchase_timestamp IS NULL
           OR ticket_status IS NULL OR channel_id IS NULL OR ingested_at IS NULL""",
     )
+    s["check_required_loss"] = _with(
+        RAW_TICKETS,
+        select=f"""SELECT ticket_id, {_time("ingested_at")} AS ingested_at FROM raw_tickets
+        WHERE purchase_timestamp::DATE = last_day(purchase_timestamp::DATE)""",
+    )
     s["check_unique"] = _with(
         RAW_TICKETS,
         select="SELECT ticket_id, count(*) AS row_count FROM raw_tickets GROUP BY 1 HAVING count(*) > 1",
@@ -566,6 +581,11 @@ def statements() -> dict[str, str]:
     )
     s["assert_sell_through_rate"] = _with(*_SILVER, EVENT_PERFORMANCE, select=_OVERSOLD)
     s["assert_channel_revenue_share_sums_to_100"] = _with(*_SILVER, CHANNEL_PERFORMANCE, select=_OFF_SHARES)
+    s["assert_shares_of_a_short_report"] = _with(
+        *_SILVER,
+        CHANNEL_PERFORMANCE,
+        select=_OFF_SHARES.replace("FROM channel_performance", "FROM channel_performance WHERE channel_type <> 'DIRECT'"),
+    )
     s["monthly_share_totals"] = _with(*_SILVER, CHANNEL_PERFORMANCE, select=_SHARE_TOTALS)
     s["check_report_raw"] = _with(
         RAW_TICKETS, RAW_EVENTS, RAW_CUSTOMERS, RAW_CHANNELS, RAW_PLATFORMS,
@@ -594,5 +614,26 @@ def statements() -> dict[str, str]:
              ELSE date_diff('day', c.launch_date, DATE '2002-02-01') END AS channel_age_days)
         FROM s_channels c JOIN raw_channels r ON c.channel_id = r.channel_id""",
     )
+    s["landing_lookback"] = _with(
+        RAW_CUSTOMERS,
+        select=f"""SELECT * REPLACE ({_day("signup_date")} AS signup_date, {_time("ingested_at")} AS ingested_at)
+        FROM raw_customers WHERE ingested_at >= (SELECT max(ingested_at) FROM raw_customers) - INTERVAL 3 DAY""",
+    )
+    s["approximate_reach"] = _with(
+        *_SILVER,
+        select="""SELECT platform_region, strftime(purchase_date, '%Y-%m') AS year_month,
+        count(DISTINCT customer_id) AS customers, true AS is_close
+        FROM tickets JOIN s_events USING (event_id) JOIN s_platforms ON upper(platform_name) = tickets.platform_source
+        GROUP BY 1, 2""",
+    )
+    s["personal_data"] = _with(
+        RAW_CUSTOMERS,
+        CUSTOMERS,
+        select="\nUNION ALL ".join(
+            f"SELECT '{name}' AS column_name, '{note}' AS note, count({name}) AS filled FROM s_customers"
+            for name, note in _PERSONAL
+        ),
+    )
+    s["stream_dedup_replays"] = "SELECT event_id, user_id, event_type, value FROM events"
     s["stream_dedup"] = "SELECT event_id, user_id, event_type, value FROM events"
     return s

@@ -218,7 +218,7 @@ def customer_behaviour(silver: Tables, as_of: Column) -> DataFrame:
     )
 
 
-def _placed_tickets(silver: Tables) -> DataFrame:
+def placed_tickets(silver: Tables, *further: str) -> DataFrame:
     """Tickets of known events with their platform's region and the month of sale.
 
     Spark broadcasts the platforms while their files are small. If it does not, adaptive
@@ -232,13 +232,14 @@ def _placed_tickets(silver: Tables) -> DataFrame:
         "ticket_status",
         "face_value_usd",
         year_month(F.col("purchase_date")).alias(MONTH),
+        *further,
     )
     return _of_known_events(sold, silver).join(_platform_names(silver, "platform_region"), "platform_source")
 
 
 def channel_sales_by_region(silver: Tables, placed: DataFrame | None = None) -> DataFrame:
     """Region x month x channel, with the channel's name and type where it is active."""
-    placed = _placed_tickets(silver) if placed is None else placed
+    placed = placed_tickets(silver) if placed is None else placed
     sums = placed.groupBy(*REGION_MONTH, F.col("channel_id").alias("sold_through")).agg(
         count_status(BOOKED).alias("booked"),
         count_status(CANCELLED).alias("cancelled"),
@@ -263,7 +264,7 @@ def regional_summary(silver: Tables) -> DataFrame:
     Revenue, active channels and the top channel come from one chain of ever smaller aggregates;
     the ticket counts and the two distinct counts from rows that hold a customer and event once a group.
     """
-    placed = _placed_tickets(silver)
+    placed = placed_tickets(silver)
     by_channel = channel_sales_by_region(silver, placed)
     zero = F.lit(0).cast("bigint")
     of_type = {

@@ -18,16 +18,18 @@ from boxoffice.operators.dedup import any_per_key, latest_per_key
 from boxoffice.operators.merge import high_water_mark, lookback, merge_literal
 from boxoffice.operators.ranking import mode_per_group, top_k_per_group
 from boxoffice.operators.share import share_of_total
+from boxoffice.operators.sketch import distinct_sketches, error_bound, merged_sketches
 from boxoffice.plans import gold, silver
 from boxoffice.plans.build import run, shapes
 from boxoffice.plans.checks import check_layer
 from boxoffice.plans.incremental import build_incremental
-from boxoffice.schemas import RAW, TABLES
+from boxoffice.schemas import RAW, TABLES, pii_columns
 from boxoffice.session import scratch_path
 from boxoffice.sources import star_schema
+from boxoffice.sources.raw import land, read_raw
 from boxoffice.sources.seeds import read_rates
 from boxoffice.sources.store import LayerStore
-from boxoffice.streaming.streams import dedup_exact, file_stream, stream_upsert
+from boxoffice.streaming.streams import dedup_exact, dedup_replays, file_stream, read_deduplicated, stream_upsert
 from boxoffice.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,6 +120,17 @@ def seed_rates(spark, folder):
     return used.join(rates, F.col("currency") == F.col("from_currency"), "left").drop("from_currency")
 
 
+@query
+def seed_from_csv(spark, folder):
+    """The same use of a seed that was written as a CSV file with header and read with declared types."""
+    path = scratch_path(spark, "seed")
+    read_rates(spark).write.option("header", True).csv(path)
+    used = star_schema.raw_tickets(spark, folder).groupBy(text.upper_code(F.col("currency")).alias("currency")).count()
+    rates = silver.current_rates(read_rates(spark, path))
+    joined = used.join(rates, F.col("currency") == F.col("from_currency"))
+    return joined.select("currency", F.col("count").alias("ticket_rows"), "rate")
+
+
 @query
 def clean_text(spark, folder):
     return star_schema.raw_events(spark, folder).select(
@@ -236,9 +249,9 @@ def tickets_of_open_channels(spark, folder):
 
 @query
 def tickets_with_channel(spark, folder):
-    """Left join that keeps tickets of closed channels, through the salted path on purpose."""
+    """Left join that keeps tickets of closed channels, shuffled by key and salt as for a large table."""
     tables = _silver(spark, folder)
-    named = joins.dimension(tables.channels.select("channel_id", "channel_name"), broadcast_rows=0)
+    named = joins.dimension(tables.channels.select("channel_id", "channel_name"), broadcast_bytes=0)
     return joins.lookup(tables.tickets.select("ticket_id", "channel_id"), named, "channel_id", "left")
 
 
@@ -291,6 +304,25 @@ def distinct_reach(spark, folder):
     )
 
 
+@query
+def approximate_reach(spark, folder):
+    """Customers per region and month by merged daily sketches, held against the exact number."""
+    tables = _silver(spark, folder)
+    placed = gold.placed_tickets(tables, "purchase_date")
+    daily = distinct_sketches(placed, ["platform_region", "purchase_date"], "customer_id")
+    months = daily.withColumn("year_month", year_month(F.col("purchase_date")))
+    merged = merged_sketches(months, ["platform_region", "year_month"])
+    exact = placed.groupBy("platform_region", "year_month").agg(F.count_distinct("customer_id").alias("customers"))
+    both = merged.join(exact, ["platform_region", "year_month"])
+    off = F.abs(F.col("estimate") - F.col("customers"))
+    return both.select(
+        "platform_region",
+        "year_month",
+        "customers",
+        (off <= F.greatest(F.lit(1), F.col("customers") * error_bound())).alias("is_close"),
+    )
+
+
 @query
 def revenue_share(spark, folder):
     revenue = (
@@ -391,6 +423,15 @@ def check_required(spark, folder):
     return missing_required(star_schema.raw_tickets(spark, folder), RAW["tickets"]).select("ticket_id", "ingested_at")
 
 
+@query
+def check_required_loss(spark, folder):
+    """The same check on tickets that lost their buyer with the last day of every month."""
+    raw = star_schema.raw_tickets(spark, folder)
+    bought = F.to_date("purchase_timestamp")
+    lost = F.when(bought != F.last_day(bought), F.col("customer_id"))
+    return missing_required(raw.withColumn("customer_id", lost), RAW["tickets"]).select("ticket_id", "ingested_at")
+
+
 @query
 def check_unique(spark, folder):
     return quality.unique(star_schema.raw_tickets(spark, folder), "ticket_id")
@@ -425,6 +466,13 @@ def assert_channel_revenue_share_sums_to_100(spark, folder):
     return quality.shares_sum_to_100(gold.channel_performance(_silver(spark, folder)))
 
 
+@query
+def assert_shares_of_a_short_report(spark, folder):
+    """Months whose shares no longer add up when the report has lost a channel type."""
+    report = gold.channel_performance(_silver(spark, folder)).where(F.col("channel_type") != "DIRECT")
+    return quality.shares_sum_to_100(report)
+
+
 @query
 def monthly_share_totals(spark, folder):
     return quality.monthly_shares(gold.channel_performance(_silver(spark, folder)))
@@ -444,6 +492,16 @@ def incremental_lookback(spark, folder):
     return lookback(tickets, "ingested_at", high_water_mark(tickets, "ingested_at"))
 
 
+@query
+def landing_lookback(spark, folder):
+    """Customers landed by day of arrival, and those of the last days read back: other folders are not opened."""
+    landing = scratch_path(spark, "landing")
+    land(star_schema.raw_customers(spark, folder), landing, "customers")
+    customers = read_raw(spark, landing).customers
+    recent = lookback(customers, "ingested_at", high_water_mark(customers, "ingested_at"))
+    return recent.select(*RAW["customers"].names)
+
+
 def _two_runs(spark: SparkSession, folder: str, purpose: str) -> LayerStore:
     """Tickets that arrived before the cut, then an incremental run over all of them."""
     store = LayerStore(spark, scratch_path(spark, purpose))
@@ -496,6 +554,20 @@ def selected_events_view(spark, folder):
     return spark.sql(f"SELECT event_id, event_name, event_capacity, _loaded_at FROM {name}")
 
 
+@query
+def personal_data(spark, folder):
+    """Columns of stored customers that their metadata marks as personal, and how many rows fill them."""
+    base = scratch_path(spark, "personal")
+    raw = _raw(spark, folder)
+    run(spark, raw, base, AS_OF, RUN_TS, layers=("seeds", "silver"), tables=("currency_rates", "customers"))
+    customers = LayerStore(spark, base).read("silver", "customers")
+    names = pii_columns(customers)
+    notes = {name: customers.schema[name].metadata["comment"] for name in names}
+    counts = customers.agg(*[F.count(name).alias(name) for name in names])
+    rows = [F.struct(F.lit(n).alias("column_name"), F.lit(notes[n]).alias("note"), F.col(n).alias("filled")) for n in names]
+    return counts.select(F.explode(F.array(*rows)).alias("row")).select("row.*")
+
+
 @query
 def pipeline_check_report(spark, folder):
     """The whole build, raw to gold, and the report of all its checks."""
@@ -530,3 +602,17 @@ def stream_dedup(spark, folder):
         .awaitTermination()
     )
     return spark.read.parquet(out).select("event_id", "user_id", "event_type", "value")
+
+
+@query
+def stream_dedup_replays(spark, folder):
+    """Three files of records streamed twice each, file by file: every record once, without a state in memory."""
+    landing, out = scratch_path(spark, "replays"), scratch_path(spark, "replays-out")
+    events = spark.read.schema(star_schema.STAR["events"]).parquet(f"{folder}/events.parquet")
+    events = events.withColumn("ts", F.col("ts").cast("timestamp"))
+    for _ in range(2):
+        for part in range(3):
+            events.where(F.pmod(F.xxhash64("event_id"), F.lit(3)) == part).coalesce(1).write.mode("append").parquet(landing)
+    arrivals = file_stream(spark, landing, events.schema, 1)
+    dedup_replays(arrivals, out, ["event_id"], "ts", scratch_path(spark, "replays-log")).awaitTermination()
+    return read_deduplicated(spark, out).select("event_id", "user_id", "event_type", "value")
