@@ -1,9 +1,10 @@
 """Visible text of HTML pages, laid out: blocks, lists and aligned tables.
 
 A tree is built with the tags HTML implies (a paragraph ends where a block begins, an item where
-the next begins, cells and rows likewise, the head where anything but its own elements comes); end
-tags without a start are ignored. Elements that
-are never shown, or are hidden by attribute or inline style, are left out with all they hold.
+the next begins, cells and rows likewise, the head where anything but its own elements comes); what
+stands in a table outside its cells goes before the table; end tags without a start are ignored, and so
+is what a comment, tag or attribute that never ends holds. Elements that are never shown, or are
+hidden by attribute or inline style, are left out with all they hold.
 The rest is rendered: white space collapses except in ``pre``; blocks begin on a line of their
 own, and some are set off by an empty line; list items are indented and get a bullet or number;
 table cells are padded to columns.
@@ -21,9 +22,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter
+from collections import defaultdict
 from html import unescape
-from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -48,7 +48,7 @@ ENDS_FOREIGN = frozenset(
 )
 # What may stand in a head; any other start tag, and text, ends it and begins the body.
 IN_HEAD = frozenset("base basefont bgsound link meta title noscript noframes script style template head".split())
-APART = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure hr menu dir".split())
+APART = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre listing xmp plaintext ul ol dl table figure hr menu dir".split())
 BLOCK = APART | frozenset(
     "address article aside body caption center dd details dialog div dt fieldset figcaption footer form header hgroup "
     "html legend li main nav optgroup option search section summary tbody td tfoot th thead tr".split()
@@ -59,6 +59,17 @@ WHOLE = NEVER | FOREIGN | SVG_SHOWN | {"select", "textarea"}
 CELLS = frozenset(("td", "th"))
 GROUPS = frozenset(("thead", "tbody", "tfoot"))
 LISTS = frozenset(("ul", "ol", "menu", "dir"))
+# Whose content is text up to their own end tag, with and without character references.
+REFERENCES = frozenset(("title", "textarea"))
+RAW = frozenset("script style xmp iframe noembed noframes noscript".split())
+# Where nothing but the parts of a table may stand, and what each part may stand in.
+TABLE_ONLY = frozenset(("table", "tr")) | GROUPS
+PART_OF = {
+    **dict.fromkeys(("caption", "colgroup", *GROUPS), frozenset(("table",))),
+    "col": frozenset(("table", "colgroup")),
+    "tr": frozenset(("table",)) | GROUPS,
+    **dict.fromkeys(CELLS, TABLE_ONLY),
+}
 # A new element of the key ends open ones of the first set, not looking beyond the second.
 IMPLIED_END = {
     "li": (frozenset(("li",)), LISTS | {"table", "td", "th"}),
@@ -85,25 +96,36 @@ _VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(hidden|collapse|visible)\
 _KEEPS_SPACE = re.compile(r"(?:^|;)\s*white-space\s*:\s*(pre|normal)", re.IGNORECASE)
 
 
+_TAG = re.compile(r"</?([a-zA-Z][^ \t\n\f\r/>]*)")
+_OPENS = re.compile(r"<(?=[a-zA-Z/!?])")
+_NAME = re.compile(r"[ \t\n\f\r/]*(>|=?[^ \t\n\f\r/>=]*)")
+_EQUALS = re.compile(r"[ \t\n\f\r]*=[ \t\n\f\r]*")
+_BARE = re.compile(r"[^ \t\n\f\r>]*")
+_COMMENT_END = re.compile(r"--!?>")
+
+
 class Node:
-    __slots__ = ("tag", "attributes", "children")
+    __slots__ = ("tag", "attributes", "children", "home")
 
-    def __init__(self, tag: str, attributes: dict[str, str | None]) -> None:
-        self.tag, self.attributes = tag, attributes
+    def __init__(self, tag: str, attributes: dict[str, str | None], home: Node | None = None) -> None:
+        self.tag, self.attributes, self.home = tag, attributes, home
         self.children: list[Node | str] = []
 
 
-class TreeBuilder(HTMLParser):
-    """The tree of a page; ``root`` holds everything."""
+_ENDED = Node("", {})  # stands for an element that has ended while blocks in it are open
+
+
+class TreeBuilder:
+    """The tree of a page from its tags and texts; ``root`` holds everything."""
 
     def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
         self.root = Node("#root", {})
         self.open = [self.root]
-        self.count: Counter[str] = Counter()  # open elements by tag, so that deep pages are not searched in vain
+        # Where the open elements of each tag, and the open blocks, are: nothing is searched.
+        self.places: dict[str, list[int]] = defaultdict(list)
+        self.blocks: list[int] = []
 
-    def handle_starttag(self, tag: str, attrs: list) -> None:
-        attributes = dict(reversed(attrs))  # the first of repeated attributes counts
+    def start(self, tag: str, attributes: dict[str, str | None], slash: bool = False) -> None:
         if tag in ("html", "body") and any(node.tag == tag for node in self.open[:3]):
             return
         if tag not in IN_HEAD:
@@ -119,92 +141,176 @@ class TreeBuilder(HTMLParser):
         if tag in IMPLIED_END:
             ends, scope = IMPLIED_END[tag]
             self._close(ends, scope)
+        if tag == "table" and self.open[-1].tag in TABLE_ONLY:  # a table that stands in no cell of another ends it
+            self._close({"table"}, frozenset())
+        if tag in PART_OF and self._has({"table"}, CELLS | {"caption"}):
+            # What stands before the table by mistake ends where the table goes on.
+            while self.open[-1].tag not in PART_OF[tag]:
+                self._cut(len(self.open) - 1)
         if tag in CELLS and self.open[-1].tag in GROUPS | {"table"}:
             self._push("tr", {})
         if tag in VOID:
-            self.open[-1].children.append(Node(tag, attributes))
+            self._put(Node(tag, attributes))
         else:
             self._push(tag, attributes)
-        if tag == "textarea":
-            self.set_cdata_mode(tag)  # up to its end tag all is text
-
-    def handle_startendtag(self, tag: str, attrs: list) -> None:
-        self.handle_starttag(tag, attrs)
         # A slash at the end means nothing in HTML, but ends an element of a drawing or formula.
-        if tag == self.open[-1].tag and self._has(FOREIGN, HTML_AGAIN - {tag}):
+        if slash and tag == self.open[-1].tag and self._has(FOREIGN, HTML_AGAIN - {tag}):
             self._close({tag}, frozenset())
 
-    def handle_endtag(self, tag: str) -> None:
+    def end(self, tag: str) -> None:
         if tag == "br":
             self._leave_head(tag)
-            self.open[-1].children.append(Node("br", {}))
+            self._put(Node("br", {}))
         elif tag == "p" and not self._has({"p"}, P_SCOPE):
-            self.open[-1].children.append(Node("p", {}))
-        elif tag not in BLOCK and tag not in WHOLE and (at := self._has({tag}, CELLS)) and any(n.tag in BLOCK for n in self.open[at:]):
+            self._put(Node("p", {}))
+        elif tag not in BLOCK and tag not in WHOLE and (at := self._has({tag}, CELLS)) and self.blocks and self.blocks[-1] > at:
             # The end of an inline element leaves the blocks in it open.
-            del self.open[at]
-            self.count[tag] -= 1
+            self.open[at] = _ENDED
+            self.places[tag].pop()
         elif tag not in VOID:
             # An end tag never closes the cell or table around it from within.
             self._close({tag}, frozenset() if tag in ("table", "html", "body") else frozenset(("table", "td", "th")) - {tag})
 
-    def handle_data(self, data: str) -> None:
-        if self.open[-1].tag == "head" and not _SPACE.fullmatch(data):
+    def text(self, data: str) -> None:
+        if not data:
+            return
+        blank = _SPACE.fullmatch(data)
+        if self.open[-1].tag == "head" and not blank:
             self._leave_head("")
-        self.open[-1].children.append(unescape(data) if self.cdata_elem == "textarea" else data)
-
-    def close(self) -> None:
-        super().close()
-        if self.cdata_elem == "textarea" and self.rawdata:  # it was left open
-            self.handle_data(self.rawdata)
-            self.rawdata = ""
+        if blank:
+            self.open[-1].children.append(data)
+        else:
+            self._put(data)
 
-    def unknown_decl(self, data: str) -> None:
-        pass
+    def in_foreign(self) -> bool:
+        return bool(self._has(FOREIGN, HTML_AGAIN))
 
     def _leave_head(self, tag: str) -> None:
         """Ends a head that is innermost, and begins the body unless the tag does."""
         if self.open[-1].tag == "head":
             while self.open[-1].tag == "head":
                 self._close({"head"}, frozenset())
-            if tag != "body" and not self.count["body"]:
+            if tag != "body" and not self.places["body"]:
                 self._push("body", {})
 
+    def _put(self, child: Node | str) -> None:
+        """A child of the innermost element, or one before the table where only parts of a table may stand."""
+        top = self.open[-1]
+        if top.tag not in TABLE_ONLY or isinstance(child, Node) and child.tag in PART_OF or not self.places["table"]:
+            home, at = top, len(top.children)
+        else:
+            table = self.open[self.places["table"][-1]]
+            home, at = table.home, len(table.home.children) - 1
+            while home.children[at] is not table:
+                at -= 1
+        home.children.insert(at, child)
+        if isinstance(child, Node):
+            child.home = home
+
     def _push(self, tag: str, attributes: dict) -> None:
         node = Node(tag, attributes)
-        self.open[-1].children.append(node)
+        self._put(node)
+        self.places[tag].append(len(self.open))
+        if tag in BLOCK:
+            self.blocks.append(len(self.open))
         self.open.append(node)
-        self.count[tag] += 1
+
+    def _cut(self, at: int) -> None:
+        """Ends the element at a place and all in it, and what had ended before around it."""
+        while len(self.open) > at or self.open[-1] is _ENDED:
+            node = self.open.pop()
+            if node is not _ENDED:
+                self.places[node.tag].pop()
+                if node.tag in BLOCK:
+                    self.blocks.pop()
 
     def _has(self, tags, scope) -> int:
         """Where the innermost open element of these tags is, 0 if there is none within the scope."""
-        if not any(self.count[tag] for tag in tags):
-            return 0
-        for at in range(len(self.open) - 1, 0, -1):
-            if self.open[at].tag in tags:
-                return at
-            if self.open[at].tag in scope:
-                return 0
-        return 0
+        at = max((self.places[tag][-1] for tag in tags if self.places.get(tag)), default=0)
+        return at if at >= max((self.places[tag][-1] for tag in scope if self.places.get(tag)), default=0) else 0
 
     def _close(self, tags, scope) -> None:
         # Every open element of these tags within the scope ends: a row with its cells.
         while at := self._has(tags, scope):
-            self.count.subtract(node.tag for node in self.open[at:])
-            del self.open[at:]
+            self._cut(at)
             if len(tags) == 1:
                 return
 
 
+def _attributes(page: str, at: int) -> tuple[dict[str, str | None], int, bool] | None:
+    """Attributes from a place behind a tag's name, the place behind its end, and whether a slash ends it; None without end."""
+    found: dict[str, str | None] = {}
+    while True:
+        name = _NAME.match(page, at)
+        if not name[1]:
+            return None
+        if name[1] == ">":
+            return found, name.end(), page[name.end() - 2] == "/"
+        at, value = name.end(), None
+        equals = _EQUALS.match(page, at)
+        if equals:
+            at = equals.end()
+            quote = page[at : at + 1]
+            if quote in ("'", '"'):
+                end = page.find(quote, at + 1)
+                if end < 0:
+                    return None
+                value, at = page[at + 1 : end], end + 1
+            else:
+                bare = _BARE.match(page, at)
+                value, at = bare[0], bare.end()
+            value = unescape(value)
+        found.setdefault(name[1].lower(), value)  # the first of repeated attributes counts
+
+
 def parse(page: str) -> Node:
+    """The tree of a page, in one pass from left to right; what never ends is ignored from where it begins."""
+    page = page.replace("\r\n", "\n").replace("\r", "\n")
     builder = TreeBuilder()
-    try:
-        builder.feed(page)
-        builder.close()
-    except AssertionError:  # a marked section that the tokenizer does not know is a comment
-        builder = TreeBuilder()
-        builder.feed(re.sub(r"<!\[[^>]*>?", "", page))
-        builder.close()
+    at, size = 0, len(page)
+    while at < size:
+        opens = _OPENS.search(page, at)
+        begin = opens.start() if opens else size
+        if page.startswith("</", begin) and begin + 2 == size:  # nothing is opened by these two at the end
+            begin = size
+        builder.text(unescape(page[at:begin]))
+        at = begin
+        if at >= size:
+            break
+        tag = _TAG.match(page, at)
+        if tag:
+            rest = _attributes(page, tag.end())
+            if rest is None:
+                break
+            attributes, at, slash = rest
+            name = tag[1].lower()
+            if page[begin + 1] == "/":
+                builder.end(name)
+                continue
+            foreign = builder.in_foreign()
+            builder.start(name, attributes, slash)
+            if name == "plaintext" and not foreign:
+                builder.text(page[at:])
+                break
+            if name in ("script", "style") or name in RAW | REFERENCES and not foreign:
+                close = re.compile(rf"</{name}(?=[ \t\n\f\r/>])", re.IGNORECASE).search(page, at)
+                end = close.start() if close else size
+                if not slash or not foreign:
+                    builder.text(unescape(page[at:end]) if name in REFERENCES else page[at:end])
+                    at = end
+        elif page.startswith("<![CDATA[", at) and builder.in_foreign():
+            end = page.find("]]>", at)
+            builder.text(page[at + 9 : end if end >= 0 else size])
+            at = end + 3 if end >= 0 else size
+        elif page.startswith("<!--", at):
+            if page.startswith(">", at + 4) or page.startswith("->", at + 4):
+                at = page.index(">", at) + 1
+                continue
+            close = _COMMENT_END.search(page, at + 4)
+            at = close.end() if close else size
+        else:  # declarations, processing instructions and odd end tags
+            end = page.find(">", at)
+            at = end + 1 if end >= 0 else size
     return builder.root
 
 
@@ -263,6 +369,7 @@ class _Writer:
         self.gap = self.gap or apart
 
     def block_lines(self, lines: list[str]) -> None:
+        self.newline()
         for line in lines:
             self.line = [line]
             self.newline(True)
@@ -369,6 +476,8 @@ def render(root: Node) -> str:
         elif step[0] == "cell":
             writer = writers.pop()
             writer.newline()
+            while writer.lines and not writer.lines[-1]:
+                writer.lines.pop()
             node = step[1]
             if node.tag == "caption":
                 tables[-1].captions.append(writer.lines)
@@ -392,7 +501,7 @@ def _shown(node: Node, visible: bool) -> bool | None:
     attributes = node.attributes
     if not attributes:
         return None if node.tag == "dialog" else visible
-    if "hidden" in attributes or node.tag == "dialog" and "open" not in attributes:
+    if "hidden" in attributes or "popover" in attributes or node.tag == "dialog" and "open" not in attributes:
         return None
     style = attributes.get("style")
     if style:
@@ -496,7 +605,7 @@ def _table_lines(table: _Table) -> list[str]:
                 line += [" " * pad, text]
                 filled += pad + _width(text)
             out.append("".join(line))
-    return [line for line in out if line]
+    return out
 
 
 def page_text(page: str | None) -> str:

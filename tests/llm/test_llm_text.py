@@ -4,7 +4,9 @@ import json
 import math
 import random
 import re
+import time
 from collections import Counter
+from html import unescape
 
 import numpy as np
 import pytest
@@ -101,7 +103,34 @@ def test_chat_query_keeps_the_hard_conversation(spark):
     assert len(found) == 1 + table(spark, SF, "conversations").select("conv_id").distinct().count()
 
 
+STRAY = [
+    ("<table>pre<tr><td>a</table>post", "pre\n\na\n\npost"),
+    ("<table><tr><td>a</td>mid</tr></table>z", "mid\n\na\n\nz"),
+    ("<table><b>bold</b><tr><td>a</table>", "bold\n\na"),
+    ("<table><caption>c</caption>after<tr><td>a</table>", "after\n\nc\na"),
+    ("<table><tr>row<td>a<tbody>body<tr><td>b</table>c", "rowbody\n\na\nb\n\nc"),
+    ("<table><tr><td>a<table>in<tr><td>b</table>c</table>", "ain\n\nb\n\nc"),
+    ("<table><div>d<p>e<tr><td>a", "d\n\ne\n\na"),
+    ("<table><form><tr><td>a</form><td>b</table>", "a  b"),
+    ("<table> <tr> <td>a</td> </tr> </table>", "a"),
+    ("<table><tr><td><p>a<p>b<td>c</table>", "a  c\n\nb"),
+    ("<table><tr><td>a<br><br>b</table>", "a\n\nb"),
+    ("x<table><table>y", "x\n\ny"),
+]
+
 PAGES = [
+    ("a<!-- b", "a"),
+    ("a<b>c</b><a href='un>closed y", "ac"),
+    ("a<i", "a"),
+    ("a</", "a</"),
+    ("a</ x>b</>c<?pi?>d<!doctype x>e", "abcde"),
+    ("a<!-->b<!--->c<!-- --!>d", "abcd"),
+    ("<xmp>a<b>c &amp;</xmp>d", "a<b>c &amp;\n\nd"),
+    ("a<plaintext>b<p>c", "a\n\nb<p>c"),
+    ("a<div popover>b</div>c", "ac"),
+    ("<svg><text>a<![CDATA[<b>]]></text></svg>", "a<b>"),
+    ("<p title='a>b' title=c data-x=\"<p>\"/>d", "d"),
+    ("1 < 2 <3 a<b", "1 < 2 <3 a"),
     (None, ""),
     ("", ""),
     ("a<br>b<br><br>c", "a\nb\n\nc"),
@@ -116,7 +145,7 @@ PAGES = [
     ("<details><summary>s</summary>rest</details><details open><summary>t</summary>u</details>", "s\nt\nu"),
     ("<table><tr><th>n<th>value<tr><td>long<td>1<tr><td colspan=2>both", "n     value\nlong  1\nboth"),
     ("<table><tr><td rowspan=2>r<td>a<tr><td>b</table>", "r  a\n   b"),
-    ("<table><tr><td>x<table><tr><td>in<td>2</table>y<td>z</table>", "x      z\nin  2\ny"),
+    ("<table><tr><td>x<table><tr><td>in<td>2</table>y<td>z</table>", "x      z\n\nin  2\n\ny"),
     ("<table><tr><td>中<td>a<tr><td>bb<td>c</table>", "中  a\nbb  c"),
     ("<dl><dt>t<dd>d<dt>u<dd>e</dl>", "t\n  d\nu\n  e"),
     ("<blockquote>q</blockquote>a", "  q\n\na"),
@@ -162,11 +191,53 @@ def test_pages_of_any_depth_and_in_a_table(spark):
 
 
 def test_pages_keep_every_visible_word(spark):
-    for row in table(spark, SF, "pages").limit(40).collect():
-        bare = re.sub(r"(?s)<(script|style|title)\b.*?</\1>|<!--.*?-->|<[^>]*>", " ", row.html)
-        for word in re.findall(r"[a-z]{4,}", bare):
-            assert word in page_text(row.html)
-            break
+    """Every word of every page, as often as its text nodes hold it, and no other word."""
+    pages = table(spark, SF.replace("0.001", "0.01"), "pages").collect()
+    assert len(pages) > 200
+    for row in pages:
+        bare = re.sub(r"(?is)<(script|style|title|noscript|template)\b.*?</\1\s*>|<!--.*?-->", " ", row.html or "")
+        bare = unescape(re.sub(r"(?s)<!?/?[a-zA-Z][^>]*>", " ", bare))
+        words = re.compile(r"[^\W\d_]+")
+        assert Counter(words.findall(page_text(row.html))) == Counter(words.findall(bare)), row.page_id
+
+
+@pytest.mark.parametrize("stray, text", STRAY)
+def test_text_of_a_table_outside_its_cells_stands_before_it(stray, text):
+    assert page_text(stray) == text
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        "<i>{n}<div>{n}</i>{n}",
+        "<!--{n}",
+        "<a href='{n}",
+        "<table>{n}x",
+        "<table><tr>{n}<b>x",
+        "<select>{n}<option>",
+        "<p>{n}<b>",
+        "</p>{n}",
+        "<td>{n}<tr>",
+        "<![{n}",
+        "<textarea>{n}</textare>",
+        "<svg>{n}<text>",
+        "<ruby>{n}</ruby>",
+    ],
+)
+def test_time_grows_with_the_length_of_a_page(part):
+    pieces = part.split("{n}")
+
+    def seconds(n):
+        page = "".join(piece * n for piece in pieces)
+        best = []
+        for _ in range(2):
+            start = time.process_time()
+            page_text(page)
+            best.append(time.process_time() - start)
+        return min(best)
+
+    one, two = seconds(3_000), seconds(6_000)
+    assert two < max(2.8 * one, 0.15), (one, two)
 
 
 def brute_search(docs, queries, k):
