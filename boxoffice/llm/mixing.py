@@ -8,7 +8,8 @@ sum of their sizes stays within the budget. The key comes from a hash of seed an
 reruns agree.
 
 A source may hold most of the corpus, so it is never sorted whole: keys fall into ranges, ranges
-are summed, and only the range in which the budget ends is sorted.
+are summed, and only the range in which the budget ends is sorted, one row for each id and size
+in it, so that an id may hold most of a source as well.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from boxoffice.llm.scratch import stored
+from boxoffice.llm.scratch import small, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 # Ranges that the keys of one source fall into; one range of it is sorted by one task.
@@ -139,17 +140,59 @@ def _plan(ranges: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def _taken(placed: DataFrame, most: int) -> DataFrame:
-    """Rows of ranges before the budget's end are taken once more, those after it are not; its own range is sorted."""
+    """Rows of ranges before the budget's end are taken once more, those after it are not; its own range is cut.
+
+    In that range equal keys (of one id, and one size) are summed before they are sorted, so an id
+    that holds much of a source is one row there. The rows before the cut are taken, and as many of
+    those at it as the budget reaches.
+    """
     whole = F.col("earlier") + F.col("range_size") <= F.col("budget")
     none = F.col("earlier") >= F.col("budget")
     sure = placed.where(whole | none).withColumn("extra", F.when(whole, 1).otherwise(0))
-    upto = (
-        Window.partitionBy(_SOURCE)
-        .orderBy(_KEY, "id", _SIZE, _ROW)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    edge = placed.where(~whole & ~none)
+    cuts = small(stored(_cuts(edge), "mix-cuts"))
+    met = edge.join(cuts, edge[_SOURCE].eqNullSafe(cuts["cut_source"]), "left").drop("cut_source")
+    here = F.struct(F.col(_KEY).alias("key"), F.col("id"), F.col(_SIZE).alias("size"))
+    cut = F.struct(F.col("cut.key").alias("key"), F.col("cut.id").alias("id"), F.col("cut.size").alias("size"))
+    at = F.col("cut").isNotNull() & here.eqNullSafe(cut)
+    before = F.col("cut").isNull() | (here < cut)
+    decided = met.where(~at).withColumn("extra", F.when(before, 1).otherwise(0))
+    tied = _numbered(met.where(at)).withColumn("extra", F.when(F.col("nth") <= F.col("cut.taken"), 1).otherwise(0))
+    names = sure.columns
+    times = F.least(F.col("epochs") + F.col("extra"), F.lit(most)).cast("long")
+    return sure.unionByName(decided.select(names)).unionByName(tied.select(names)).withColumn("times", times)
+
+
+def _cuts(edge: DataFrame) -> DataFrame:
+    """For each source the first key, id and size of which not all rows are taken, and how many are."""
+    same = edge.groupBy(_SOURCE, _KEY, "id", _SIZE).agg(
+        F.count("*").alias("n"), F.first("earlier").alias("earlier"), F.first("budget").alias("budget")
     )
+    upto = Window.partitionBy(_SOURCE).orderBy(_KEY, "id", _SIZE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    size, budget = F.col(_SIZE), F.col("budget")
+    total = F.col("n") * size
+    summed = same.withColumn("start", F.col("earlier") + F.sum(total).over(upto) - total)
     # A document counts when its middle is within the budget, so the sum ends as near as whole texts allow.
-    middle = F.col("earlier") + F.sum(_SIZE).over(upto) - F.col(_SIZE) / 2
-    edge = placed.where(~whole & ~none).withColumn("extra", F.when(middle < F.col("budget"), 1).otherwise(0))
-    times = F.least(F.col("epochs") + F.col("extra"), F.lit(most)).cast("long")
-    return sure.unionByName(edge).withColumn("times", times)
+    about = F.ceil((budget - F.col("start")) / F.greatest(size, F.lit(1)) + 0.5) - 1
+    about = F.greatest(F.least(about, F.col("n")), F.lit(0))
+    more = (about < F.col("n")) & (F.col("start") + (about + 0.5) * size < budget)
+    less = (about > 0) & ~(F.col("start") + (about - 0.5) * size < budget)
+    exact = F.when(more, about + 1).when(less, about - 1).otherwise(about)
+    taken = F.when(size > 0, exact).otherwise(F.when(F.col("start") < budget, F.col("n")).otherwise(0))
+    short = summed.withColumn("taken", taken.cast("long")).where(F.col("taken") < F.col("n"))
+    cut = F.min(F.struct(F.col(_KEY).alias("key"), F.col("id"), F.col(_SIZE).alias("size"), F.col("taken"))).alias("cut")
+    return short.groupBy(F.col(_SOURCE).alias("cut_source")).agg(cut)
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``nth`` of equal rows of a source: within each part of the stored rows, then over the parts."""
+    part = F.shiftright(F.col(_ROW), 33)  # the partition that wrote the row
+    parted = rows.withColumn("mix__part", part)
+    counts = parted.groupBy(F.col(_SOURCE).alias("of"), F.col("mix__part").alias("in")).agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("of").orderBy("in").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.withColumn("mix__start", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
+    inner = Window.partitionBy(_SOURCE, "mix__part").orderBy(_ROW)
+    joined = parted.withColumn("inner", F.row_number().over(inner)).join(
+        F.broadcast(starts), parted[_SOURCE].eqNullSafe(F.col("of")) & (F.col("mix__part") == F.col("in"))
+    )  # at most a row for each source and partition of the stored rows
+    return joined.withColumn("nth", F.col("inner") + F.col("mix__start"))

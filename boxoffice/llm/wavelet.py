@@ -171,11 +171,14 @@ def write_shards(
 ) -> DataFrame:
     """Encode every whole text (null: empty), write the shards below ``folder`` and return their table.
 
-    Rows go to ranges of ids; a range is written in as many shards as it needs, so a range or a
-    single id that holds much of the corpus costs time, not memory. An empty table has no shard.
+    Rows go to ranges of ids, and rows of one id to ranges of a hash of their texts; a range is written
+    in as many shards as it needs. Only the two named columns are read. An empty table has no shard.
     """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    ranged = docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Rows of one id go on by a hash of the text, equal rows by their place, so no id has to lie in one range.
+    order = ["doc_id", "wavelet__hash", "wavelet__row"]
+    docs = docs.withColumns({order[1]: F.xxhash64("text"), order[2]: F.monotonically_increasing_id()})
+    ranged = docs.repartitionByRange(*order).sortWithinPartitions(*order).drop(*order[1:])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = byte_level_encoder(tokenizer)

@@ -250,3 +250,17 @@ def test_mix_prefers_quality_and_takes_an_empty_table(spark):
         shares.append(sum(times) / len(times))
     assert found and shares[0] > 0.9 > 0.7 > shares[1]
     assert mix(spark.createDataFrame([], DOC + ", source string")).count() == 0
+
+
+def test_mix_of_an_id_that_holds_most_rows(spark):
+    """The rows that one task sorts are as many as ids and sizes, and the budget is met to the text."""
+    rows = [(7 if i % 3 else i, "w " * (4 + i % 2), "big" if i % 10 else "a") for i in range(6000)]
+    rows += [(None, "x y", "big")] * 50
+    docs = spark.createDataFrame(rows, DOC + ", source string").repartition(6)
+    found = mix(docs, weights=(1, 1)).collect()
+    assert len(found) == len(rows)
+    for source_size, target in {(r.source_size, r.target) for r in found}:
+        mine = [r for r in found if r.source_size == source_size]
+        assert abs(sum(r.taken for r in mine) - target) <= 3
+    again = mix(docs.repartition(3), weights=(1, 1)).collect()
+    assert sorted(map(str, found)) == sorted(map(str, again))

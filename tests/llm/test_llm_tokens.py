@@ -192,3 +192,24 @@ def test_length_histogram_answers_for_every_limit(spark):
     empty = lengths.suffix_sums(lengths.length_histogram(spark.createDataFrame([], DOC), BYTES))
     assert empty.count() == 0 and lengths.total_within(empty, 5).first()[0] == 0
     assert lengths.length_quantile(empty, 0.5).first()[0] is None
+
+
+def test_an_id_that_holds_a_third_of_the_rows_is_in_several_parts(spark, tmp_path):
+    rows = [(7 if i % 3 == 0 else i, f"word{i % 50} and more {i if i % 2 else ''}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("wavelet__row", F.lit("z")).repartition(4)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        shards = wavelet.write_shards(docs, public_tokenizers.path("byte_bpe_50k.json"), str(tmp_path / "shards"))
+        found = wavelet.read_documents(shards).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    sizes = [r.n_docs for r in shards.collect()]
+    assert len(sizes) >= 4 and max(sizes) < 1200
+    assert sorted(r.doc_id for r in found) == sorted(row[0] for row in rows)
+    at = 0
+    for row in sorted(found, key=lambda r: r.start):
+        assert row.start == at
+        at += row.n_tokens
+    ids = [r.doc_id for r in sorted(found, key=lambda r: r.start)]
+    assert ids == sorted(ids)
