@@ -110,27 +110,28 @@ def features_of(column: pa.Array) -> np.ndarray:
 
 def pairs_of(good: int, bad: int, pairs: int = PAIRS) -> tuple[np.ndarray, np.ndarray]:
     """Which good row is compared with which bad one: every row of the larger class ``pairs`` times, the others evenly."""
-    larger = max(good, bad)
-    at = np.arange(larger * min(pairs, min(good, bad)))
-    turn = at // larger
-    return (at + (turn if good < bad else 0)) % good, (at + (turn if good >= bad else 0)) % bad
+    larger, smaller = max(good, bad), min(good, bad)
+    at = np.arange(larger * min(pairs, smaller))
+    row = at % larger
+    other = (row + at // larger) % smaller
+    return (row, other) if good >= bad else (other, row)
 
 
 def fit(rows: np.ndarray, labels: np.ndarray, pairs: int = PAIRS, ridge: float = RIDGE, steps: int = 30) -> Model:
     """Newton steps on the logistic loss of pair differences, with a ridge on scaled weights."""
-    width = rows.shape[1] if rows.ndim == 2 else 0
+    if not len(rows):  # no labels
+        return Model(np.zeros(features_of(pa.array([""])).shape[1]), 0.0)
     good, bad = rows[labels == 1], rows[labels == 0]
     if not len(good) or not len(bad):
-        shift = 0.0 if not len(labels) else np.inf if len(good) else -np.inf
-        return Model(np.zeros(width), shift)
+        return Model(np.zeros(rows.shape[1]), np.inf if len(good) else -np.inf)
     one, two = pairs_of(len(good), len(bad), pairs)
     scale = np.maximum(rows.std(axis=0), 1e-3)
     gaps = (good[one] - bad[two]) / scale
-    weights = np.zeros(width)
+    weights = np.zeros(rows.shape[1])
     for _ in range(steps):
         lost = 1 / (1 + np.exp(np.clip(gaps @ weights, -500, 500)))  # chance of the wrong preference
         slope = -(gaps * lost[:, None]).mean(axis=0) + ridge * weights
-        bend = (gaps * (lost * (1 - lost))[:, None]).T @ gaps / len(gaps) + ridge * np.eye(width)
+        bend = (gaps * (lost * (1 - lost))[:, None]).T @ gaps / len(gaps) + ridge * np.eye(len(weights))
         weights = weights - np.linalg.solve(bend, slope)
     weights = weights / scale
     ranked = np.sort(rows @ weights)
