@@ -5,12 +5,13 @@ all texts in hashed cells, ties by hash. Two sets of similarity t or more share
 the first n - ceil(t n) + 1 of each, so only those are shuffled.
 
 1. Texts with the same set become one node; nodes with the same prefix and size become a group.
-2. Within each prefix shingle, groups are ordered by size, and once at random, and tied to their
-   neighbours and to the first one only; pairs that pass the size and the position filter are
-   verified exactly.
-3. Their links give components. Only shingles that still touch several components are joined in
-   full, and only pairs of different components are verified. Pairs inside a component cannot
-   change it, so thousands of near copies cost a line, not a square.
+2. Within each prefix shingle, groups are ordered by size and tied to the first one only; pairs that
+   pass the size and the position filter are verified exactly. Their links give components.
+3. Some rounds follow in which, within each shingle that still touches several components, texts
+   in a fresh random order are tied to their neighbour and to the first one, if those are of another
+   component. Pairs inside a component cannot change it and are never verified.
+4. Only shingles that touch several components even then are joined in full, and only pairs of
+   different components are verified. So thousands of near copies cost a line, not a square.
 
 Sets are compared as 64-bit shingle hashes; two different shingles of one pair share a hash with
 a chance of about 2^-44 for sets of a thousand shingles.
@@ -34,6 +35,8 @@ from boxoffice.llm.words import ASCII_SPACE, LOWER, hashes, mix, pieces, spans,
 # Cells of the frequency table and the slices in which it is added up; both are fixed, so it has 4 MB at any size.
 CELLS = 1 << 22
 SLICES = 64
+# Rounds that tie texts of different components before the rest is joined in full; they end when nothing is tied.
+ROUNDS = 3
 
 
 def shingle_sets(column: pa.Array, width: int, repeated: bool = False) -> list[np.ndarray]:
@@ -186,7 +189,18 @@ def ngram_join(
     checked = _verified(pairs, hashed, percent)
     links = checked.where("linked").select("a", "b")
     roots = stored(components(links), "ngram-roots")
-    crossing = _crossing(tokens, nodes, roots, percent).join(checked.select("a", "b"), ["a", "b"], "left_anti")
+    for number in range(ROUNDS):
+        mixed = _mixed(tokens, nodes, roots)
+        fresh = _strangers(mixed, number, percent).join(checked.select("a", "b"), ["a", "b"], "left_anti")
+        fresh = stored(fresh, "ngram-strangers")
+        unread = _members(fresh, nodes).join(hashed.select("set_id"), "set_id", "left_anti")
+        hashed = hashed.union(_hashed_sets(docs, unread, width))
+        found = _verified(fresh, hashed, percent)
+        checked = checked.union(found)
+        if found.where("linked").isEmpty():
+            break
+        roots = stored(components(checked.where("linked").select("a", "b")), "ngram-roots")
+    crossing = _crossing(_mixed(tokens, nodes, roots), percent).join(checked.select("a", "b"), ["a", "b"], "left_anti")
     crossing = stored(crossing, "ngram-crossing")
     unread = _members(crossing, nodes).join(hashed.select("set_id"), "set_id", "left_anti")
     hashed = hashed.union(_hashed_sets(docs, unread, width))
@@ -233,22 +247,13 @@ def _shared_tokens(prefixes: DataFrame) -> DataFrame:
 
 
 def _neighbours(tokens: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of nodes: each group's first member with those of its neighbours, and with its other members."""
+    """Pairs (a, b) of nodes: each group's first member with that of the smallest group, and with its other members."""
     order = Window.partitionBy("token").orderBy("n", "group_id")
-    shuffled = Window.partitionBy("token").orderBy(F.xxhash64("token", "group_id"), "group_id")
-    here = F.struct("group_id", "n", "pos")
-    rows = (
-        tokens.withColumn("previous", F.lag(here).over(order))
-        .withColumn("hub", F.first(here).over(order))
-        .withColumn("any", F.lag(here).over(shuffled))
-    )
-    pairs = None
-    for other in ("previous", "hub", "any"):
-        found = rows.where(
-            (F.col(f"{other}.group_id") != F.col("group_id"))
-            & _may_link(F.col("n"), F.col("pos"), F.col(f"{other}.n"), F.col(f"{other}.pos"), percent)
-        ).select(F.col(f"{other}.group_id").alias("x"), F.col("group_id").alias("y"))
-        pairs = found if pairs is None else pairs.union(found)
+    rows = tokens.withColumn("hub", F.first(F.struct("group_id", "n", "pos")).over(order))
+    pairs = rows.where(
+        (F.col("hub.group_id") != F.col("group_id"))
+        & _may_link(F.col("n"), F.col("pos"), F.col("hub.n"), F.col("hub.pos"), percent)
+    ).select(F.col("hub.group_id").alias("x"), F.col("group_id").alias("y"))
     pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
     heads = stored(nodes.groupBy("group_id").agg(F.min("set_id").alias("head")), "ngram-heads")
     between = (
@@ -261,8 +266,8 @@ def _neighbours(tokens: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _crossing(tokens: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Every candidate pair whose nodes lie in different components; shingles of one component are left out."""
+def _mixed(tokens: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """(token, set_id, root, n, pos) of the shingles that touch several components."""
     placed = (
         nodes.select("set_id", "group_id")
         .join(roots.withColumnRenamed("node", "set_id"), "set_id", "left")
@@ -270,7 +275,25 @@ def _crossing(tokens: DataFrame, nodes: DataFrame, roots: DataFrame, percent: in
     )
     rows = tokens.join(placed, "group_id")
     mixed = rows.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    rows = stored(rows.join(mixed.select("token"), "token", "left_semi"), "ngram-mixed")
+    rows = rows.join(mixed.select("token"), "token", "left_semi").select("token", "set_id", "root", "n", "pos")
+    return stored(rows, "ngram-mixed")
+
+
+def _strangers(rows: DataFrame, number: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components: within each shingle, in a random order, with the one before and the first."""
+    order = Window.partitionBy("token").orderBy(F.xxhash64("token", "set_id", F.lit(number)), "set_id")
+    here = F.struct("set_id", "root", "n", "pos")
+    rows = rows.withColumn("others", F.array_distinct(F.array(F.lag(here).over(order), F.first(here).over(order))))
+    rows = rows.withColumn("other", F.explode("others")).where(
+        (F.col("other.root") != F.col("root"))
+        & _may_link(F.col("n"), F.col("pos"), F.col("other.n"), F.col("other.pos"), percent)
+    )
+    other = F.col("other.set_id")
+    return rows.select(F.least("set_id", other).alias("a"), F.greatest("set_id", other).alias("b")).distinct()
+
+
+def _crossing(rows: DataFrame, percent: int) -> DataFrame:
+    """Every candidate pair whose nodes lie in different components."""
     names = ("set_id", "root", "n", "pos")
     one, two = (rows.select("token", *[F.col(c).alias(f"{c}{i}") for c in names]) for i in (1, 2))
     pairs = one.join(two, "token").where(
