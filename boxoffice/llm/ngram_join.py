@@ -6,12 +6,17 @@ the first n - ceil(t n) + 1 of each, so only those are shuffled.
 
 1. Texts with the same set become one node; nodes with the same prefix and size become a group.
 2. Within each prefix shingle, groups are ordered by size, and once at random, and tied to their
-   neighbours and to the first one only; pairs that pass the size and the position filter are
-   verified exactly.
+   ``LAGS`` neighbours and to the first one only; pairs that pass the size, the position and the
+   signature filter are verified exactly.
 3. Their links give components. Only shingles that still touch several components are joined in
    full, and only pairs of different components are verified. Pairs inside a component cannot
    change it, so thousands of near copies cost a line, not a square.
 
+The signature of a set has one bit for each of ``BITS`` cells: whether an odd number of its
+shingles fall there. Every bit in which two signatures differ stands for a shingle that only one
+of the sets has, so a pair that differs in more bits than linked sets of these sizes differ in
+shingles is no link. The filter never drops a link; sets of thousands of shingles all pass it.
+
 Sets are compared as 64-bit shingle hashes; two different shingles of one pair share a hash with
 a chance of about 2^-44 for sets of a thousand shingles.
 """
@@ -34,6 +39,11 @@ from boxoffice.llm.words import ASCII_SPACE, LOWER, hashes, mix, pieces, spans,
 # Cells of the frequency table and the slices in which it is added up; both are fixed, so it has 4 MB at any size.
 CELLS = 1 << 22
 SLICES = 64
+# Bits of a signature, in words of 64; in the join of all pairs it is folded to half of them.
+WORDS = 8
+BITS = 64 * WORDS
+# Neighbours on one side to which a group is tied in each order.
+LAGS = 3
 
 
 def shingle_sets(column: pa.Array, width: int, repeated: bool = False) -> list[np.ndarray]:
@@ -116,7 +126,13 @@ def _prefix_length(size: int, percent: int) -> int:
     return size - -(-size * percent // 100) + 1
 
 
-_SETS = "id {id_type}, hash long, n long, set_id binary, group_id binary, prefix array<long>"
+def signature(grams: np.ndarray) -> np.ndarray:
+    """``WORDS`` words: for each cell of shingle hashes whether it holds an odd number of them."""
+    odd = np.bincount((grams & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
+_SETS = "id {id_type}, hash long, n long, set_id binary, group_id binary, prefix array<long>, signature array<long>"
 
 
 def _sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -128,7 +144,7 @@ def _sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
         frequency = np.frombuffer(table.value, np.uint8)
         for batch in batches:
             for piece in pieces(batch, "text"):
-                sizes, names, groups, prefixes = [], [], [], []
+                sizes, names, groups, prefixes, signatures = [], [], [], [], []
                 for own in shingle_sets(piece.column("text"), width):
                     sizes.append(len(own))
                     names.append(blake2b(own.tobytes(), digest_size=16).digest())
@@ -136,6 +152,7 @@ def _sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
                     prefix = own[np.argsort(frequency[_cells(own)], kind="stable")[:take]]
                     groups.append(blake2b(prefix.tobytes(), digest_size=16, salt=len(own).to_bytes(8, "little")).digest())
                     prefixes.append(prefix.view(np.int64))
+                    signatures.append(signature(own))
                 ends = np.cumsum([0, *map(len, prefixes)])
                 flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
@@ -146,8 +163,12 @@ def _sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
                         pa.array(names, pa.binary()),
                         pa.array(groups, pa.binary()),
                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
+                        pa.ListArray.from_arrays(
+                            pa.array(range(0, WORDS * len(sizes) + 1, WORDS), pa.int32()),
+                            pa.array(np.concatenate(signatures) if signatures else np.zeros(0, np.int64)),
+                        ),
                     ],
-                    ["id", "hash", "n", "set_id", "group_id", "prefix"],
+                    ["id", "hash", "n", "set_id", "group_id", "prefix", "signature"],
                 )
 
     return stored(docs.mapInArrow(make, _SETS.format(id_type=id_type.simpleString())), "ngram-sets")
@@ -160,6 +181,16 @@ def _may_link(n1: Column, pos1: Column, n2: Column, pos2: Column, percent: int)
     return sizes & (bound * (100 + percent) >= percent * (n1 + n2))
 
 
+def _alike(n1: Column, words1: list[Column], n2: Column, words2: list[Column], percent: int) -> Column:
+    """Signature filter: linked sets of these sizes may differ in so many shingles."""
+    differ = sum((F.bit_count(one.bitwiseXOR(two)) for one, two in zip(words1, words2)), F.lit(0))
+    return differ * (100 + percent) <= (n1 + n2) * (100 - percent)
+
+
+def _words(signed: str) -> list[Column]:
+    return [F.col(signed)[i] for i in range(WORDS)]
+
+
 def ngram_join(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80
 ) -> DataFrame:
@@ -176,7 +207,11 @@ def ngram_join(
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     docs = docs.withColumn("hash", F.xxhash64("text"))  # ids may repeat: id and hash tell texts apart
     sets = _sets(docs, width, percent)
-    named_by = [F.min("id").alias("first_id"), F.min(F.struct("id", "hash")).alias("member")]
+    named_by = [
+        F.min("id").alias("first_id"),
+        F.min(F.struct("id", "hash")).alias("member"),
+        F.first("signature").alias("signature"),
+    ]
     nodes = stored(sets.where("n > 0").groupBy("set_id", "group_id", "n").agg(*named_by), "ngram-nodes")
     several = (F.min("set_id") != F.max("set_id")).alias("several")
     prefixes = sets.where("n > 0").groupBy("group_id").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), several)
@@ -237,45 +272,51 @@ def _neighbours(tokens: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     order = Window.partitionBy("token").orderBy("n", "group_id")
     shuffled = Window.partitionBy("token").orderBy(F.xxhash64("token", "group_id"), "group_id")
     here = F.struct("group_id", "n", "pos")
-    rows = (
-        tokens.withColumn("previous", F.lag(here).over(order))
-        .withColumn("hub", F.first(here).over(order))
-        .withColumn("any", F.lag(here).over(shuffled))
-    )
+    others = {"hub": F.first(here).over(order)}
+    for back in range(1, LAGS + 1):
+        others[f"previous{back}"] = F.lag(here, back).over(order)
+        others[f"any{back}"] = F.lag(here, back).over(shuffled)
+    rows = tokens.withColumns(others)
     pairs = None
-    for other in ("previous", "hub", "any"):
+    for other in others:
         found = rows.where(
             (F.col(f"{other}.group_id") != F.col("group_id"))
             & _may_link(F.col("n"), F.col("pos"), F.col(f"{other}.n"), F.col(f"{other}.pos"), percent)
         ).select(F.col(f"{other}.group_id").alias("x"), F.col("group_id").alias("y"))
         pairs = found if pairs is None else pairs.union(found)
     pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-    heads = stored(nodes.groupBy("group_id").agg(F.min("set_id").alias("head")), "ngram-heads")
+    first = F.min(F.struct(F.col("set_id").alias("id"), "n", "signature"))
+    heads = stored(nodes.groupBy("group_id").agg(first.alias("head")), "ngram-heads")
     between = (
         pairs.join(heads.select(F.col("group_id").alias("x"), F.col("head").alias("hx")), "x")
         .join(heads.select(F.col("group_id").alias("y"), F.col("head").alias("hy")), "y")
-        .select(F.col("hx").alias("a"), F.col("hy").alias("b"))
     )
-    within = nodes.join(heads, "group_id").where("set_id <> head").select(F.col("head").alias("a"), F.col("set_id").alias("b"))
-    both = between.union(within)
+    member = F.struct(F.col("set_id").alias("id"), "n", "signature").alias("hy")
+    within = nodes.join(heads, "group_id").where("set_id <> head.id").select(F.col("head").alias("hx"), member)
+    both = between.select("hx", "hy").union(within)
+    alike = _alike(F.col("hx.n"), _words("hx.signature"), F.col("hy.n"), _words("hy.signature"), percent)
+    both = both.where(alike).select(F.col("hx.id").alias("a"), F.col("hy.id").alias("b"))
     return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _crossing(tokens: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """Every candidate pair whose nodes lie in different components; shingles of one component are left out."""
+    folded = [F.col("signature")[i].bitwiseXOR(F.col("signature")[i + WORDS // 2]).alias(f"w{i}") for i in range(WORDS // 2)]
     placed = (
-        nodes.select("set_id", "group_id")
+        nodes.select("set_id", "group_id", *folded)
         .join(roots.withColumnRenamed("node", "set_id"), "set_id", "left")
         .withColumn("root", F.coalesce("root", "set_id"))
     )
     rows = tokens.join(placed, "group_id")
     mixed = rows.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
     rows = stored(rows.join(mixed.select("token"), "token", "left_semi"), "ngram-mixed")
-    names = ("set_id", "root", "n", "pos")
+    names = ("set_id", "root", "n", "pos", *[f"w{i}" for i in range(WORDS // 2)])
     one, two = (rows.select("token", *[F.col(c).alias(f"{c}{i}") for c in names]) for i in (1, 2))
+    words1, words2 = ([F.col(f"w{j}{i}") for j in range(WORDS // 2)] for i in (1, 2))
     pairs = one.join(two, "token").where(
         (F.col("root1") < F.col("root2"))
         & _may_link(F.col("n1"), F.col("pos1"), F.col("n2"), F.col("pos2"), percent)
+        & _alike(F.col("n1"), words1, F.col("n2"), words2, percent)
     )
     # Groups with the same prefix and size may also lie in several components.
     return pairs.select(F.least("set_id1", "set_id2").alias("a"), F.greatest("set_id1", "set_id2").alias("b")).distinct()

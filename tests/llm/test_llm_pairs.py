@@ -5,10 +5,12 @@ import math
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from boxoffice.llm import components as components_module
+from boxoffice.llm import ngram_join as ngram
 from boxoffice.llm.components import components
 from boxoffice.llm.exact_dedup import exact_dedup
 from boxoffice.llm.mixing import mix, source_targets
@@ -149,6 +151,18 @@ def test_ngram_join_meets_one_text_a_set_when_ids_repeat(spark, monkeypatch):
     assert 0 < sum(read) <= len(texts)
 
 
+def test_signatures_differ_in_no_more_bits_than_sets_in_shingles():
+    rng = np.random.default_rng(5)
+    for size in (0, 1, 7, 60, 300, 5000):
+        for changed in (0, 1, size // 20, size // 2, size):
+            grams = np.unique(rng.integers(0, 1 << 63, size + changed, dtype=np.uint64))
+            one, two = grams[:size], grams[len(grams) - size :]
+            words = ngram.signature(one) ^ ngram.signature(two)
+            bits = sum(int(w).bit_count() for w in words.view(np.uint64))
+            folded = words[: ngram.WORDS // 2] ^ words[ngram.WORDS // 2 :]
+            assert sum(int(w).bit_count() for w in folded.view(np.uint64)) <= bits <= len(np.setxor1d(one, two))
+
+
 def test_ngram_join_of_an_empty_table_and_wrong_bounds(spark):
     assert ngram_join(spark.createDataFrame([], DOC)).count() == 0
     with pytest.raises(ValueError):
