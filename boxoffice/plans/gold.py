@@ -67,8 +67,22 @@ def _summed(*names: str) -> list[Column]:
     return [F.sum(name).alias(name) for name in names or _MEASURES]
 
 
+def _first(counted: str, *group: str, by: str) -> Column:
+    """1 on one row of each ``counted`` id of a group, 0 on its other rows, which differ in ``by``.
+
+    Its sum is the distinct count, without a copy of the rows for every id that is counted.
+    """
+    first = F.row_number().over(Window.partitionBy(*group, counted).orderBy(by)) == 1
+    return (first & F.col(counted).isNotNull()).cast("bigint")
+
+
 def ticket_sales_daily(silver: Tables) -> DataFrame:
     """Event x day x platform x channel. Closed channels share one row with no channel."""
+    return daily_report(daily_rows(silver))
+
+
+def daily_rows(silver: Tables) -> DataFrame:
+    """What a row of the daily table is made of."""
     channels = dimension(silver.channels.select("channel_id", "channel_name", "channel_type"))
     sold = silver.tickets.select(
         F.col("purchase_date").alias("sale_date"),
@@ -92,8 +106,12 @@ def ticket_sales_daily(silver: Tables) -> DataFrame:
     events = silver.events.select("event_id", "event_name", "event_category", "venue_country")
     platforms = _platform_names(silver, "platform_id", "platform_name", "platform_region")
     placed = measured.join(events, "event_id").join(platforms, "platform_source")
-    described = attach(placed, channels, "channel_id", "left")
-    return described.select(
+    return attach(placed, channels, "channel_id", "left")
+
+
+def daily_report(rows: DataFrame) -> DataFrame:
+    """The daily table from its rows, each on its own: its key is wide, so it is made behind the last shuffle."""
+    return rows.select(
         "sale_date",
         "event_id",
         "event_name",
@@ -128,8 +146,10 @@ def event_performance(silver: Tables) -> DataFrame:
         "customer_id",
         "channel_id",
     )
-    per_event = measured.groupBy("event_id").agg(
-        *_summed(), F.count_distinct("customer_id").alias("customers"), F.count_distinct("channel_id").alias("channels")
+    counted = measured.withColumn("customers", _first("customer_id", "event_id", by="channel_id"))
+    by_channel = counted.groupBy("event_id", "channel_id").agg(*_summed(*_MEASURES, "customers"))
+    per_event = by_channel.groupBy("event_id").agg(
+        *_summed(*_MEASURES, "customers"), F.count("channel_id").alias("channels")
     )
     joined = silver.events.join(per_event, "event_id", "left")
     matched = F.col("total")
@@ -178,8 +198,7 @@ def customer_behaviour(silver: Tables, as_of: Column) -> DataFrame:
         "channel_id",
     )
     # An event counts once for a customer: with the first of its channels.
-    first = F.row_number().over(Window.partitionBy("customer_id", "event_id").orderBy("channel_id")) == 1
-    counted = measured.withColumn("events", (first & F.col("event_id").isNotNull()).cast("bigint"))
+    counted = measured.withColumn("events", _first("event_id", "customer_id", by="channel_id"))
     by_channel = counted.groupBy("customer_id", "channel_id").agg(
         *_summed(*_MEASURES, "events"), F.max("last_purchase_date").alias("last_purchase_date")
     )
@@ -289,12 +308,14 @@ def regional_summary(silver: Tables) -> DataFrame:
         F.min_by("channel_name", place).alias("top_channel_by_revenue"),
     )
     met = rolled_up(placed, *REGION_MONTH, "customer_id", "event_id")
-    reach = met.groupBy(*REGION_MONTH).agg(
+    counted = met.withColumn("customers", _first("customer_id", *REGION_MONTH, by="event_id"))
+    by_event = counted.groupBy(*REGION_MONTH, "event_id").agg(*_summed("booked", "cancelled", "refunded", "customers"))
+    reach = by_event.groupBy(*REGION_MONTH).agg(
         F.sum("booked").alias("tickets_sold"),
         F.sum("cancelled").alias("tickets_cancelled"),
         F.sum("refunded").alias("tickets_refunded"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        F.count_distinct("event_id").alias("unique_events"),
+        F.sum("customers").alias("unique_customers"),
+        F.count("event_id").alias("unique_events"),
     )
     # Both sides hold every group once, a group of platforms without region included.
     same_group = F.lit(True)
@@ -334,10 +355,10 @@ def channel_performance(silver: Tables) -> DataFrame:
         "face_value_usd",
     )
     measured = rolled_up(_of_known_events(sold, silver), MONTH, "channel_id", "customer_id", "event_id")
-    monthly = measured.groupBy(MONTH, "channel_id").agg(
-        *_summed(),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        F.count_distinct("event_id").alias("unique_events"),
+    counted = measured.withColumn("unique_customers", _first("customer_id", MONTH, "channel_id", by="event_id"))
+    by_event = counted.groupBy(MONTH, "channel_id", "event_id").agg(*_summed(*_MEASURES, "unique_customers"))
+    monthly = by_event.groupBy(MONTH, "channel_id").agg(
+        *_summed(*_MEASURES, "unique_customers"), F.count("event_id").alias("unique_events")
     )
     channels = silver.channels.select("channel_id", "channel_name", "channel_type", "platform_id")
     platforms = silver.platforms.select("platform_id", "platform_name", "platform_region")

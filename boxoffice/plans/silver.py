@@ -14,7 +14,7 @@ from boxoffice.functions.dates import days_between
 from boxoffice.functions.money import MONEY, RATE, to_usd
 from boxoffice.functions.text import lower_code, title_case, upper_code
 from boxoffice.operators.dedup import any_per_key, latest_per_key
-from boxoffice.schemas import TABLES
+from boxoffice.schemas import DEALT_BY, TABLES
 from boxoffice.tables import Tables
 
 HOME_CURRENCY = "USD"
@@ -119,6 +119,7 @@ def shape_tickets(raw: DataFrame, rates: DataFrame) -> DataFrame:
         upper_code(F.col("platform_source")).alias("platform_source"),
         ARRIVED,
         "is_rate_missing",
+        *[name for name in raw.columns if name == DEALT_BY],
     )
 
 
@@ -128,7 +129,8 @@ def newest(shaped: DataFrame, name: str) -> DataFrame:
     keyed = shaped.dropna(subset=keys)
     if ARRIVED not in shaped.columns:
         return any_per_key(keyed, keys)
-    return latest_per_key(keyed, keys, ARRIVED, audit=LOADED_AT)
+    within = [name for name in shaped.columns if name == DEALT_BY]
+    return latest_per_key(keyed, keys, ARRIVED, audit=LOADED_AT, within=within).drop(DEALT_BY)
 
 
 def is_published(name: str) -> Column:

@@ -26,6 +26,10 @@ def _field(name: str, kind: DataType, note: str, required: bool = False, pii: bo
     return StructField(name, kind, not required, {"comment": note, "pii": pii})
 
 
+# A last column that raw tables may carry beside the declared ones: the value by which a source dealt its rows to
+# tasks. The key of a record determines it, so all versions of a record lie together.
+DEALT_BY = "dealt_by"
+
 # The declared raw tables.
 RAW: dict[str, StructType] = {
     "tickets": StructType(

@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from boxoffice.operators.conform import conform
-from boxoffice.schemas import RAW
+from boxoffice.schemas import DEALT_BY, RAW
 from boxoffice.tables import Tables
 
 # What the star schema's codes stand for.
@@ -28,6 +29,9 @@ CHANNEL_TYPES = ("direct", "partner", "vendor")
 REGION_CODES = {"AMERICA": "us", "EUROPE": "eu", "AFRICA": "latam"}
 OTHER_REGION = "apac"
 
+# Order lines that one task joins and deduplicates, beyond a table of that many.
+LINES_PER_TASK = 500_000
+
 
 # The star schema's columns.
 STAR = {
@@ -65,9 +69,31 @@ def _day(start: str, offset: Column) -> Column:
     return F.date_add(F.lit(start).cast("date"), offset.cast("int"))
 
 
-def raw_tickets(spark: SparkSession, folder: str, lines: DataFrame | None = None) -> DataFrame:
-    """``lines`` may be a stream of order lines; the other tables are static."""
+def _dealt(lines: DataFrame, lines_per_task: int) -> DataFrame:
+    """Many order lines by order, in as many partitions as their number asks for, so that a task stays small."""
+    rows = lines.count()  # file footers only
+    if rows <= lines_per_task:
+        return lines
+    partitions = max(-(-rows // lines_per_task), lines.sparkSession.sparkContext.defaultParallelism)
+    return lines.repartition(partitions, "l_orderkey")
+
+
+def raw_tickets(
+    spark: SparkSession,
+    folder: str,
+    lines: DataFrame | None = None,
+    dealt: bool = False,
+    lines_per_task: int = LINES_PER_TASK,
+) -> DataFrame:
+    """``lines`` may be a stream of order lines; the other tables are static.
+
+    With ``dealt`` the tickets carry their order as a last column. A ticket's id begins with it, so the shuffle that
+    joins lines to orders also brings the versions of a ticket together.
+    """
     line = table(spark, folder, "lineitem") if lines is None else lines
+    if dealt and lines is None:
+        line = _dealt(line, lines_per_task)
+    schema = StructType([*RAW["tickets"].fields, StructField(DEALT_BY, LongType())]) if dealt else RAW["tickets"]
     # One table after the other: Spark knows the size of each file, but overestimates a join of the three.
     sold = (
         line.join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
@@ -95,8 +121,9 @@ def raw_tickets(spark: SparkSession, folder: str, lines: DataFrame | None = None
             F.col("r_name").alias("platform_source"),
             F.col("l_suppkey").alias("channel_id"),
             F.col("l_shipdate").alias("ingested_at"),
+            F.col("l_orderkey").alias(DEALT_BY),
         ),
-        RAW["tickets"],
+        schema,
     )
 
 
@@ -186,7 +213,7 @@ def raw_platforms(spark: SparkSession, folder: str) -> DataFrame:
 def raw_from_star(spark: SparkSession, folder: str) -> Tables:
     return Tables(
         {
-            "tickets": lambda: raw_tickets(spark, folder),
+            "tickets": lambda: raw_tickets(spark, folder, dealt=True),
             "events": lambda: raw_events(spark, folder),
             "customers": lambda: raw_customers(spark, folder),
             "channels": lambda: raw_channels(spark, folder),

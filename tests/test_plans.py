@@ -99,3 +99,8 @@ def test_daily_table_is_aggregated_before_descriptions_are_joined(spark):
     silver = queries._silver(spark, SF)
     plan = gold.ticket_sales_daily(silver)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("event_name") < plan.index("Aggregate")
+
+
+def test_distinct_counts_do_not_multiply_rows(stored_plans):
+    for name in ("event_performance", "channel_performance", "regional_summary"):
+        assert "Expand" not in stored_plans[name], name
