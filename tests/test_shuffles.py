@@ -1,0 +1,124 @@
+"""How often rows are shuffled on their way into a stored table."""
+
+import datetime as dt
+
+import pytest
+
+from boxoffice.functions.dates import as_day, as_instant
+from boxoffice.operators import joins
+from boxoffice.plans import gold, incremental, silver
+from boxoffice.plans.build import shapes
+from boxoffice.plans.incremental import build_incremental, upsert
+from boxoffice.schemas import DEALT_BY, RAW, TABLES
+from boxoffice.sources import star_schema
+from boxoffice.sources.seeds import read_rates
+from boxoffice.sources.store import LayerStore, arranged
+from conftest import at, frame, rates, raw_tables, rows_of, ticket
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def star(spark, tmp_path):
+    """A small star schema in which some order lines come twice, once with an unknown line number."""
+    day = dt.datetime(1995, 1, 1)
+    lines = [
+        (o, 1 + o % 3, 1 + o % 2, n, 10.0 + o, 0.05, "N", "O", day + dt.timedelta(days=o + k))
+        for o in range(1, 401)
+        for n in (1, 2, 3, 4, None)
+        for k in (0, 5)
+    ]
+    tables = {
+        "lineitem": lines + lines[:7] + [(None, 1, 1, 1, 1.0, 0.0, "N", "O", day)],
+        "orders": [(o, o % 5, day + dt.timedelta(days=o % 4)) for o in range(1, 390)],
+        "supplier": [(1, "s1", 1, 5.0), (2, "s2", 2, -5.0)],
+        "nation": [(1, "n1", 0), (2, "n2", 1)],
+        "region": [(0, "EUROPE"), (1, "ASIA")],
+    }
+    for name, rows in tables.items():
+        spark.createDataFrame(rows, star_schema.STAR[name]).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+@pytest.fixture
+def small_broadcasts(spark):
+    """Order lines and orders are too large to broadcast, the other tables are not."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "2500")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_lines_are_dealt_once_for_their_order_and_their_versions(spark, star, small_broadcasts):
+    plain = star_schema.raw_tickets(spark, star)
+    dealt = star_schema.raw_tickets(spark, star, dealt=True, lines_per_task=500)
+    assert plain.columns == RAW["tickets"].names and dealt.columns == [*plain.columns, DEALT_BY]
+    shape = shapes(read_rates(spark), as_day("2002-01-01"), as_instant("2002-01-01T06:00:00"))["tickets"]
+    kept, expected = silver.newest(shape(dealt), "tickets"), silver.newest(shape(plain), "tickets")
+    assert kept.columns == expected.columns and rows_of(kept) == rows_of(expected)
+    assert "hashpartitioning(ticket_id" in plan_of(expected)
+    assert "hashpartitioning(ticket_id" not in plan_of(kept) and "hashpartitioning(l_orderkey" in plan_of(kept)
+
+
+def test_lines_lie_in_as_many_partitions_as_their_number_asks_for(spark, star):
+    lines = star_schema.table(spark, star, "lineitem")
+    assert star_schema._dealt(lines, 5000) is lines
+    few = star_schema._dealt(lines, 100)
+    assert few.rdd.getNumPartitions() == max(41, spark.sparkContext.defaultParallelism)
+
+
+def test_the_key_of_a_daily_row_is_made_behind_the_shuffle(spark, tmp_path):
+    tables = silver.build_silver(raw_tables(spark), rates(spark), as_day("2024-06-01"))
+    rows = gold.daily_rows(tables)
+    plan = plan_of(arranged(rows, ["sale_date"], ["platform_region"], gold.daily_report)).splitlines()
+    gathered = next(i for i, line in enumerate(plan) if "REBALANCE_PARTITIONS" in line)
+    assert any("md5" in line for line in plan[:gathered]) and not any("md5" in line for line in plan[gathered:])
+    store = LayerStore(spark, str(tmp_path))
+    store.replace(rows, "gold", "d", ["sale_date"], ["platform_region"], finish=gold.daily_report)
+    store.replace(rows, "gold", "e", cluster_by=["platform_region"], finish=gold.daily_report)
+    daily = gold.ticket_sales_daily(tables)
+    assert rows_of(store.read("gold", "d")) == rows_of(daily) == rows_of(store.read("gold", "e"))
+
+
+def _shape(spark):
+    return shapes(rates(spark), as_day("2024-06-01"), as_instant("2024-06-01T06:00:00"))["tickets"]
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_keys_that_stay_in_their_day_are_merged_where_the_day_is_gathered(spark, tmp_path, monkeypatch, small):
+    monkeypatch.setattr(incremental, "PIECE_ROWS", 4)
+    measured = incremental.dimension
+    monkeypatch.setattr(incremental, "dimension", lambda df: measured(df, joins.BROADCAST_BYTES if small else 0))
+    first = [ticket(f"t{i}", purchase_timestamp=at(1 + i % 3) if i % 5 else None, ingested_at=at(5)) for i in range(30)]
+    # Newer, older and equal versions of the same day, keys that move to another day or to none, and new keys.
+    second = [
+        ticket("t1", purchase_timestamp=at(2), face_value="20.00", ingested_at=at(6)),
+        ticket("t2", purchase_timestamp=at(3), face_value="30.00", ingested_at=at(4)),
+        ticket("t3", purchase_timestamp=at(1), ingested_at=at(5)),
+        ticket("t4", purchase_timestamp=at(9), ingested_at=at(6)),
+        ticket("t5", purchase_timestamp=at(2), ingested_at=at(6)),
+        ticket("t6", purchase_timestamp=None, ingested_at=at(6)),
+        ticket("t7", purchase_timestamp=at(8), ingested_at=at(4)),
+        *[ticket(f"n{i}", purchase_timestamp=at(3), ingested_at=at(6)) for i in range(9)],
+    ]
+    third = [ticket("t4", purchase_timestamp=at(2), ingested_at=at(7)), ticket("t6", event_id=None, ingested_at=at(8))]
+    store, shape = LayerStore(spark, str(tmp_path)), _shape(spark)
+    build_incremental(store, frame(spark, "tickets", first), "tickets", shape)
+    for batch in (second, third):
+        upsert(store, frame(spark, "tickets", batch), "tickets", shape)
+    whole = silver.table_of(shape(frame(spark, "tickets", first + second + third)), "tickets")
+    assert rows_of(store.read("silver", "tickets")) == rows_of(whole)
+    assert store.facts("silver", "tickets")["rows"] == store.read_all("silver", "tickets").count() == 39
+
+
+def test_stored_and_new_rows_are_shuffled_once(spark):
+    table = TABLES["tickets"]
+    versions = silver.newest(_shape(spark)(frame(spark, "tickets", [ticket(f"t{i}") for i in range(9)])), "tickets").localCheckpoint()
+    none = joins.dimension(versions.where("ticket_id = 'none'").select("ticket_id"))
+    plan = plan_of(incremental._merged_by_day(versions, versions, none, table, {dt.date(2024, 1, 1): 18}))
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert sum("purchase_date" in line for line in exchanges) == 1
+    # The only shuffle by key is that of the keys that have moved: it reads both sides through a semi join.
+    assert sum("hashpartitioning(ticket_id" in line for line in exchanges) == 1
