@@ -17,6 +17,9 @@ shingles fall there. Every bit in which two signatures differ stands for a shing
 of the sets has, so a pair that differs in more bits than linked sets of these sizes differ in
 shingles is no link. The filter never drops a link; sets of thousands of shingles all pass it.
 
+Pairs meet as compressed texts, from which the sets are made anew: a set of hashes takes more room than
+its text and does not compress.
+
 Sets are compared as 64-bit shingle hashes; two different shingles of one pair share a hash with
 a chance of about 2^-44 for sets of a thousand shingles.
 """
@@ -28,6 +31,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -217,15 +221,16 @@ def ngram_join(
     prefixes = sets.where("n > 0").groupBy("group_id").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), several)
     tokens = _shared_tokens(prefixes)
     pairs = stored(_neighbours(tokens, nodes, percent), "ngram-pairs")
-    hashed = _hashed_sets(docs, _members(pairs, nodes), width)
-    checked = _verified(pairs, hashed, percent)
+    texts = _texts(docs, _members(pairs, nodes), width)
+    checked = _verified(pairs, texts, width, percent)
     links = checked.where("linked").select("a", "b")
     roots = stored(components(links), "ngram-roots")
     crossing = _crossing(tokens, nodes, roots, percent).join(checked.select("a", "b"), ["a", "b"], "left_anti")
     crossing = stored(crossing, "ngram-crossing")
-    unread = _members(crossing, nodes).join(hashed.select("set_id"), "set_id", "left_anti")
-    hashed = hashed.union(_hashed_sets(docs, unread, width))
-    more = _verified(crossing, hashed, percent).where("linked").select("a", "b")
+    ends = _members(crossing, nodes)
+    unread = ends.join(texts.select("set_id"), "set_id", "left_anti")
+    read = likely(texts, F.col("set_id"), ends, F.col("set_id"))
+    more = _verified(crossing, read.union(_texts(docs, unread, width)), width, percent).where("linked").select("a", "b")
     joined = more.join(roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left").join(
         roots.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left"
     )
@@ -328,38 +333,54 @@ def _members(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return nodes.join(ends, "set_id", "left_semi").select("set_id", "member")
 
 
-def _hashed_sets(docs: DataFrame, members: DataFrame, width: int) -> DataFrame:
-    """(set_id, n, grams) of the members, made anew from their texts."""
-    chosen = stored(members, "ngram-members")
-    texts = likely(docs.select(F.struct("id", "hash").alias("member"), "text"), F.col("member"), chosen, F.col("member"))
-    # Equal rows become one before the shuffle, which also serves the join; fields of structs that are null are equal.
-    texts = texts.groupBy("member").agg(F.first("text").alias("text")).join(chosen, "member").select("set_id", "text")
+def _unpacked(text: pa.Scalar, width: int) -> np.ndarray:
+    raw = zstandard.ZstdDecompressor().decompress(text.as_buffer())
+    return shingle_sets(pa.array([raw], pa.large_binary()), width)[0]
 
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _texts(docs: DataFrame, members: DataFrame, width: int) -> DataFrame:
+    """(set_id, n_grams, text) of the members, compressed; one text a set."""
+
+    @F.arrow_udf("binary")
+    def packed(texts: pa.Array) -> pa.Array:
+        press = zstandard.ZstdCompressor(level=3)
+        return pa.array([press.compress(text.as_buffer()) for text in texts.cast(pa.large_binary()).fill_null(b"")], pa.binary())
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch, "text"):
-                names, counts, grams = [], [], []
-                for name, own in zip(piece.column("set_id"), shingle_sets(piece.column("text"), width)):
-                    # An equal hash may lead to another text: keep what is truly this set.
-                    if blake2b(own.tobytes(), digest_size=16).digest() == name.as_py():
-                        names.append(name.as_py())
-                        counts.append(len(own))
-                        grams.append(own.view(np.int64))
-                ends = np.cumsum([0, *map(len, grams)])
-                flat = np.concatenate(grams) if grams else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names, pa.binary()), pa.array(counts, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
-                    ["set_id", "n", "grams"],
-                )
+            rows, sizes = [], []
+            for row, (name, text) in enumerate(zip(batch.column("set_id"), batch.column("text"))):
+                own = _unpacked(text, width)
+                # An equal hash may lead to another text: keep what is truly this set.
+                if blake2b(own.tobytes(), digest_size=16).digest() == name.as_py():
+                    rows.append(row)
+                    sizes.append(len(own))
+            true = batch.take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([true.column("set_id"), pa.array(sizes, pa.int64()), true.column("text")], ["set_id", "n_grams", "text"])
+
+    chosen = stored(members, "ngram-members")
+    texts = likely(docs.select(F.struct("id", "hash").alias("member"), "text"), F.col("member"), chosen, F.col("member"))
+    # Equal rows become one before the shuffle; fields of structs that are null are equal.
+    texts = texts.select("member", packed("text").alias("text")).groupBy("member").agg(F.first("text").alias("text"))
+    found = texts.join(chosen, "member").select("set_id", "text").mapInArrow(check, "set_id binary, n_grams long, text binary")
+    return stored(found, "ngram-texts")
 
-    found = texts.mapInArrow(make, "set_id binary, n long, grams array<long>")
-    return stored(found, "ngram-hashed")
 
+def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """(a, b, linked) by the exact size of the intersection of the sets, made anew from their texts."""
 
-def _verified(pairs: DataFrame, hashed: DataFrame, percent: int) -> DataFrame:
-    """(a, b, linked) by the exact size of the intersection."""
-    one, two = (hashed.select(F.col("set_id").alias(k), F.col("n").alias(f"n{k}"), F.col("grams").alias(f"g{k}")) for k in "ab")
-    common = F.size(F.array_intersect("ga", "gb"))
-    both = pairs.join(one, "a").join(two, "b")
-    linked = common * (100 + percent) >= percent * (F.col("na") + F.col("nb"))
-    return stored(both.select("a", "b", linked.alias("linked")), "ngram-checked")
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, ta, tb = batch.columns
+            last, two, linked = None, None, []
+            for row in range(batch.num_rows):
+                if b[row] != last:  # rows of one set often follow each other
+                    last, two = b[row], _unpacked(tb[row], width)
+                one = _unpacked(ta[row], width)
+                common = len(np.intersect1d(one, two, assume_unique=True))
+                linked.append(common * (100 + percent) >= percent * (len(one) + len(two)))
+            yield pa.RecordBatch.from_arrays([a, b, pa.array(linked, pa.bool_())], ["a", "b", "linked"])
+
+    one, two = (texts.select(F.col("set_id").alias(k), F.col("text").alias(f"t{k}")) for k in "ab")
+    both = pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb")
+    return stored(both.mapInArrow(compare, "a binary, b binary, linked boolean"), "ngram-checked")

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import random
 import re
 
@@ -278,3 +279,24 @@ def test_mix_of_an_id_that_holds_most_rows(spark):
         assert abs(sum(r.taken for r in mine) - target) <= 3
     again = mix(docs.repartition(3), weights=(1, 1)).collect()
     assert sorted(map(str, found)) == sorted(map(str, again))
+
+
+def test_ngram_join_verifies_by_texts_not_by_whole_sets(spark, monkeypatch):
+    """Nothing as large as the hashes of all sets is written for the pairs, whose texts are smaller."""
+    sizes = {}
+    kept = ngram.stored
+
+    def spy(df, purpose):
+        table = kept(df, purpose)
+        sizes[purpose] = sum(os.path.getsize(name.removeprefix("file://")) for name in table.inputFiles())
+        return table
+
+    monkeypatch.setattr(ngram, "stored", spy)
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(3000)}" for _ in range(2000)) for _ in range(20)]
+    rows = [(i, text) for i, text in enumerate(texts)] + [(100 + i, text + " end") for i, text in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = ngram_join(docs, width=3, percent=90).select("doc_id", "component_id").collect()
+    assert sorted(map(tuple, found)) == sorted((i, i % 100) for i, _ in rows)
+    whole = 8 * sum(len(text.split()) for _, text in rows)
+    assert max(sizes.values()) < whole / 3, sizes
