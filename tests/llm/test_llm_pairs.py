@@ -288,7 +288,7 @@ def test_ngram_join_verifies_by_texts_not_by_whole_sets(spark, monkeypatch):
 
     def spy(df, purpose):
         table = kept(df, purpose)
-        sizes[purpose] = sum(os.path.getsize(name.removeprefix("file://")) for name in table.inputFiles())
+        sizes[purpose] = sizes.get(purpose, 0) + sum(os.path.getsize(name.removeprefix("file://")) for name in table.inputFiles())
         return table
 
     monkeypatch.setattr(ngram, "stored", spy)

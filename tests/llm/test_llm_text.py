@@ -9,6 +9,7 @@ from collections import Counter
 from html import unescape
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -406,3 +407,38 @@ def test_pipeline_of_an_empty_table(spark, tmp_path):
     for name in ("documents", "labels"):
         table(spark, SF, name).where("false").write.parquet(str(tmp_path / f"{name}.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_search_shuffles_no_query_to_every_shard(spark, monkeypatch):
+    monkeypatch.setattr(search, "SHARD_DOCS", 7)
+    rows = [(i, " ".join(f"w{i % j}" for j in range(1, 9))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    plans, frame = [], type(docs)
+    real = frame.mapInArrow
+
+    def seen(self, make, schema, *more):
+        if "score" in str(schema):
+            plans.append(self._jdf.queryExecution().executedPlan().toString())
+        return real(self, make, schema, *more)
+
+    monkeypatch.setattr(frame, "mapInArrow", seen)
+    queries = [(i, text) for i, text in rows if i % 5 == 0]
+    found = search.top_k(docs, spark.createDataFrame(queries, "query long, text string"), 5)
+    want = {(q, place): s for q, hits in brute_search(rows, queries, 5).items() for place, (_, s) in enumerate(hits, 1)}
+    assert {(r.query, r["rank"]): r.score for r in found.collect()} == pytest.approx(want, rel=1e-5)
+    assert plans and "CartesianProduct" in plans[0] and "Exchange" not in plans[0]
+
+
+def test_search_adds_whole_lists_as_it_adds_blocks(monkeypatch):
+    rng = np.random.default_rng(2)
+    texts = pa.array([" ".join(f"t{w}" for w in rng.zipf(1.4, 40) % 300) for _ in range(700)])
+    terms, rows, counts, lengths = search.postings(texts)
+    index = search.IndexShard.build(terms, rows, counts, lengths, lengths.mean(), pa.array(range(700)))
+    for size in (1, 3, 40, min(150, len(index.terms))):
+        asked = np.sort(rng.choice(index.terms, size, replace=False))
+        weights = rng.random(size)
+        found = []
+        for part in (0, 2):  # always, never
+            monkeypatch.setattr(search, "WHOLE", part)
+            found.append(index.search(asked, weights, 10))
+        assert (found[0][0] == found[1][0]).all() and (found[0][1] == found[1][1]).all()
