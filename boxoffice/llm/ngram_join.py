@@ -38,7 +38,7 @@ from pyspark.sql import Window
 
 from boxoffice.llm.components import components
 from boxoffice.llm.scratch import likely, stored
-from boxoffice.llm.words import ASCII_SPACE, LOWER, hashes, mix, pieces, spans, utf8
+from boxoffice.llm.words import ASCII_SPACE, LOWER, PIECE, hashes, mix, pieces, spans, utf8
 
 # Cells of the frequency table and the slices in which it is added up; both are fixed, so it has 4 MB at any size.
 CELLS = 1 << 22
@@ -94,7 +94,7 @@ def _frequencies(docs: DataFrame, width: int) -> bytes:
         total = np.zeros(CELLS, np.uint32)  # a task has fewer than 2^32 shingles
         waiting, held = [], 0
         for batch in batches:
-            for piece in pieces(batch, "text"):
+            for piece in pieces(batch, "text", PIECE):
                 grams = shingle_sets(piece.column("text"), width, repeated=True)
                 waiting += grams
                 held += sum(map(len, grams))
@@ -147,7 +147,7 @@ def _sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequency = np.frombuffer(table.value, np.uint8)
         for batch in batches:
-            for piece in pieces(batch, "text"):
+            for piece in pieces(batch, "text", PIECE):
                 sizes, names, groups, prefixes, signatures = [], [], [], [], []
                 for own in shingle_sets(piece.column("text"), width):
                     sizes.append(len(own))

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boxoffice.llm.scratch import stored
-from boxoffice.llm.words import LOWER, distinct, hashes, mix, pieces, spans, utf8
+from boxoffice.llm.words import LOWER, PIECE, distinct, hashes, mix, pieces, spans, utf8
 
 # The model is fitted on this many labelled rows at most, chosen by a hash of their id.
 TRAIN_ROWS = 20_000
@@ -279,7 +279,7 @@ def toxicity_score(text: Column, model: Model) -> Column:
     @F.arrow_udf("double")
     def scored(texts: pa.Array) -> pa.Array:
         batch = pa.RecordBatch.from_arrays([texts], ["text"])
-        parts = [score_texts(piece.column("text"), model) for piece in pieces(batch, "text")]
+        parts = [score_texts(piece.column("text"), model) for piece in pieces(batch, "text", PIECE)]
         return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
     return scored(text.cast("string"))

@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ from boxoffice.llm.components import components
 from boxoffice.llm.exact_dedup import exact_dedup
 from boxoffice.llm.mixing import mix, source_targets
 from boxoffice.llm.ngram_join import ngram_join
-from boxoffice.llm.scratch import likely
+from boxoffice.llm.scratch import BATCH_BYTES, likely, stored
 
 DOC = "doc_id long, text string"
 
@@ -300,3 +301,23 @@ def test_ngram_join_verifies_by_texts_not_by_whole_sets(spark, monkeypatch):
     assert sorted(map(tuple, found)) == sorted((i, i % 100) for i, _ in rows)
     whole = 8 * sum(len(text.split()) for _, text in rows)
     assert max(sizes.values()) < whole / 3, sizes
+
+
+def test_likely_runs_without_python(spark):
+    kept = likely(spark.range(10), F.col("id"), spark.range(3).toDF("k"), F.col("k"))
+    assert "Python" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert likely(spark.range(10), F.col("id"), spark.range(0).toDF("k"), F.col("k")).count() == 0
+
+
+def test_stored_hands_wide_rows_to_python_in_small_batches(spark):
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["rows", "size"])
+
+    wide = spark.range(0, 24, 1, 1).selectExpr("repeat('x', 1048576) AS text")
+    found = stored(wide.mapInArrow(sizes, "rows long, size long"), "test-batches").collect()
+    assert sum(r["rows"] for r in found) == 24 and max(r["size"] for r in found) <= BATCH_BYTES + (2 << 20)
+    assert spark.conf.get(setting) == before
