@@ -442,3 +442,28 @@ def test_search_adds_whole_lists_as_it_adds_blocks(monkeypatch):
             monkeypatch.setattr(search, "WHOLE", part)
             found.append(index.search(asked, weights, 10))
         assert (found[0][0] == found[1][0]).all() and (found[0][1] == found[1][1]).all()
+
+
+def test_search_brings_an_index_once_to_all_blocks_of_a_task(spark, monkeypatch):
+    monkeypatch.setattr(search, "QUERY_BLOCK", 2)
+    rows = [(i, f"common w{i % 5} x{i}") for i in range(20)]
+    queries = [(i, f"common w{i} x{i}") for i in range(12)]
+    met, frame = [], type(spark.range(0))
+    plain = frame.mapInArrow
+
+    def counted(self, function, schema, *more, **named):
+        if "asked" in self.columns:
+            met.append(self.groupBy("part", "shard").agg(F.count("*").alias("blocks"), F.count("index").alias("indexes")).collect())
+        return plain(self, function, schema, *more, **named)
+
+    monkeypatch.setattr(frame, "mapInArrow", counted)
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")  # small files of one table share a task
+    try:
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        found = search.top_k(docs, spark.createDataFrame(queries, "query long, text string"), 3).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert met[0] and all(r["blocks"] > 1 and r["indexes"] == 1 for r in met[0])
+    want = {(q, place): s for q, hits in brute_search(rows, queries, 3).items() for place, (_, s) in enumerate(hits, 1)}
+    assert {(r.query, r.rank) for r in found} == set(want)
+    assert all(r.score == pytest.approx(want[r.query, r.rank]) for r in found)
