@@ -22,6 +22,7 @@ its text and does not compress.
 
 Sets are compared as 64-bit shingle hashes; two different shingles of one pair share a hash with
 a chance of about 2^-44 for sets of a thousand shingles.
+Groups are known by 64 bits as well, since a group's name is shuffled with every prefix shingle.
 """
 
 from __future__ import annotations
@@ -136,7 +137,7 @@ def signature(grams: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
 
 
-_SETS = "id {id_type}, hash long, n long, set_id binary, group_id binary, prefix array<long>, signature array<long>"
+_SETS = "id {id_type}, hash long, n long, set_id binary, group_id long, prefix array<long>, signature array<long>"
 
 
 def _sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -154,7 +155,8 @@ def _sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
                     names.append(blake2b(own.tobytes(), digest_size=16).digest())
                     take = _prefix_length(len(own), percent) if len(own) else 0
                     prefix = own[np.argsort(frequency[_cells(own)], kind="stable")[:take]]
-                    groups.append(blake2b(prefix.tobytes(), digest_size=16, salt=len(own).to_bytes(8, "little")).digest())
+                    group = blake2b(prefix.tobytes(), digest_size=8, salt=len(own).to_bytes(8, "little")).digest()
+                    groups.append(int.from_bytes(group, "little", signed=True))
                     prefixes.append(prefix.view(np.int64))
                     signatures.append(signature(own))
                 ends = np.cumsum([0, *map(len, prefixes)])
@@ -165,7 +167,7 @@ def _sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
                         piece.column("hash"),
                         pa.array(sizes, pa.int64()),
                         pa.array(names, pa.binary()),
-                        pa.array(groups, pa.binary()),
+                        pa.array(groups, pa.int64()),
                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
                         pa.ListArray.from_arrays(
                             pa.array(range(0, WORDS * len(sizes) + 1, WORDS), pa.int32()),

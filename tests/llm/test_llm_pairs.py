@@ -321,3 +321,12 @@ def test_stored_hands_wide_rows_to_python_in_small_batches(spark):
     found = stored(wide.mapInArrow(sizes, "rows long, size long"), "test-batches").collect()
     assert sum(r["rows"] for r in found) == 24 and max(r["size"] for r in found) <= BATCH_BYTES + (2 << 20)
     assert spark.conf.get(setting) == before
+
+
+def test_groups_are_named_by_prefix_and_size_in_one_long(spark):
+    rows = [(1, "a b c d"), (2, "A b  c d"), (3, "a b c e"), (4, "a b c d e"), (5, "")]
+    docs = spark.createDataFrame(rows, "id long, text string").withColumn("hash", F.xxhash64("text"))
+    sets = ngram._sets(docs, 3, 90)
+    assert dict(sets.dtypes)["group_id"] == "bigint"  # shuffled with every prefix shingle
+    name = {r.id: r.group_id for r in sets.collect()}
+    assert name[1] == name[2] and len(set(name.values())) == 4
