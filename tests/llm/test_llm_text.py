@@ -467,3 +467,63 @@ def test_search_brings_an_index_once_to_all_blocks_of_a_task(spark, monkeypatch)
     want = {(q, place): s for q, hits in brute_search(rows, queries, 3).items() for place, (_, s) in enumerate(hits, 1)}
     assert {(r.query, r.rank) for r in found} == set(want)
     assert all(r.score == pytest.approx(want[r.query, r.rank]) for r in found)
+
+
+def test_search_puts_out_k_documents_a_query_however_many_shards_there_are(spark, monkeypatch):
+    monkeypatch.setattr(search, "SHARD_DOCS", 5)
+    monkeypatch.setattr(search, "TASKS_PER_CORE", 0, raising=False)  # one group of shards
+    rng = random.Random(6)
+    rows = [(i, " ".join(f"w{int(rng.paretovariate(0.7)) % 90}" for _ in range(rng.randint(1, 30)))) for i in range(300)]
+    queries = [row for row in rows if row[0] % 3 == 0]
+    made, frame = [], type(spark.range(0))
+    plain = frame.mapInArrow
+
+    def counted(self, function, schema, *more, **named):
+        out = plain(self, function, schema, *more, **named)
+        if "score" in str(schema):
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(frame, "mapInArrow", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = search.top_k(docs, spark.createDataFrame(queries, "query long, text string"), 5).collect()
+    want = {(q, place): s for q, hits in brute_search(rows, queries, 5).items() for place, (_, s) in enumerate(hits, 1)}
+    assert {(r.query, r["rank"]): r.score for r in found} == pytest.approx(want, rel=1e-5)
+    assert len(found) <= made[0] <= 2 * len(found)  # 60 shards at least
+
+
+@pytest.mark.parametrize("together, dense, pairs", [(1, 0.05, 4), (1, 2.0, 1 << 30), (1, 0.0, 1), (1 << 30, 0.08, 1 << 10)])
+def test_a_block_finds_what_its_queries_find_alone(monkeypatch, together, dense, pairs):
+    monkeypatch.setattr(search, "TOGETHER", together)
+    monkeypatch.setattr(search, "DENSE", dense)
+    monkeypatch.setattr(search, "PAIRS", pairs)
+    monkeypatch.setattr(search, "CHUNK", 16)
+    monkeypatch.setattr(search, "RUN_PAIRS", 100)
+    rng = np.random.default_rng(5)
+    words = [" ".join(f"t{w}" for w in rng.zipf(1.4, rng.integers(1, 60)) % 300) for _ in range(400)]
+    words += words[:30] + ["", None]  # copies score alike
+    shards = []
+    for begin in range(0, len(words), 150):
+        terms, rows, counts, lengths = search.postings(pa.array(words[begin : begin + 150], pa.string()))
+        ids = pa.array(range(begin, begin + len(lengths)))
+        shards.append(search.IndexShard.build(terms, rows, counts, lengths, 20.0, ids))
+    asked = []
+    for query in range(50):
+        size = int(rng.integers(1, 40))
+        terms = np.unique(np.concatenate([rng.choice(shard.terms, size) for shard in shards]))
+        asked.append({"query": query, "terms": np.sort(terms.view(np.int64)).tolist(), "weights": rng.random(len(terms)).tolist()})
+    kind = pa.struct([("query", pa.int64()), ("terms", pa.list_(pa.int64())), ("weights", pa.list_(pa.float64()))])
+    block = search.QueryBlock(pa.array(asked, kind), 10)
+    for shard in shards:
+        block.meet(search.IndexShard.from_bytes(shard.to_bytes()))
+    query, ids, scores = (column.to_pylist() for column in block.best())
+    for one in asked:
+        terms = np.array(one["terms"], np.int64).view(np.uint64)
+        order = np.argsort(terms)
+        want = []
+        for shard in shards:
+            numbers, found = shard.search(terms[order], np.array(one["weights"])[order], 10)
+            want += zip(found.tolist(), shard.ids.take(pa.array(numbers)).to_pylist())
+        least = sorted((s for s, _ in want), reverse=True)[:10][-1]
+        mine = [(s, i) for q, i, s in zip(query, ids, scores) if q == one["query"]]
+        assert sorted(mine) == sorted(hit for hit in want if hit[0] >= least)
