@@ -582,8 +582,12 @@ def stream_upsert_tickets(spark, folder):
     shape = shapes(read_rates(spark), as_day(AS_OF), as_instant(RUN_TS))["tickets"]
     early = star_schema.raw_tickets(spark, folder, dealt=True).where(F.col("ingested_at") < as_instant(CUT))
     build_incremental(store, early, "tickets", shape)
-    tickets = star_schema.raw_tickets(spark, folder, lines, dealt=True)
-    stream_upsert(tickets, store, "tickets", shape, scratch_path(spark, "stream-log")).awaitTermination()
+
+    def of_lines(batch):
+        # Joined within the batch, where Spark knows how its rows lie, so that versions are not shuffled again.
+        return shape(star_schema.raw_tickets(batch.sparkSession, folder, batch, dealt=True))
+
+    stream_upsert(lines, store, "tickets", of_lines, scratch_path(spark, "stream-log")).awaitTermination()
     return store.read("silver", "tickets").drop("_loaded_at")
 
 

@@ -85,13 +85,13 @@ def raw_tickets(
     dealt: bool = False,
     lines_per_task: int = LINES_PER_TASK,
 ) -> DataFrame:
-    """``lines`` may be a stream of order lines; the other tables are static.
+    """``lines`` may be other order lines than those of the folder, a stream of them too; the other tables are static.
 
     With ``dealt`` the tickets carry their order as a last column. A ticket's id begins with it, so the shuffle that
     joins lines to orders also brings the versions of a ticket together.
     """
     line = table(spark, folder, "lineitem") if lines is None else lines
-    if dealt and lines is None:
+    if dealt and not line.isStreaming:
         line = _dealt(line, lines_per_task)
     schema = StructType([*RAW["tickets"].fields, StructField(DEALT_BY, LongType())]) if dealt else RAW["tickets"]
     # One table after the other: Spark knows the size of each file, but overestimates a join of the three.

@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 
+from boxoffice import queries
 from boxoffice.functions.dates import as_day, as_instant
 from boxoffice.operators import joins
 from boxoffice.plans import gold, incremental, silver
@@ -122,3 +123,20 @@ def test_stored_and_new_rows_are_shuffled_once(spark):
     assert sum("purchase_date" in line for line in exchanges) == 1
     # The only shuffle by key is that of the keys that have moved: it reads both sides through a semi join.
     assert sum("hashpartitioning(ticket_id" in line for line in exchanges) == 1
+
+
+def test_streamed_lines_are_shuffled_once_for_their_order_and_their_versions(spark, star, small_broadcasts, monkeypatch):
+    plans, newest = [], incremental.newest
+
+    def seen(shaped, name):
+        plans.append(plan_of(newest(shaped, name)))
+        return newest(shaped, name)
+
+    monkeypatch.setattr(incremental, "newest", seen)
+    found = queries.registered()["stream_upsert_tickets"](spark, star)
+    assert len(plans) == 2 and "ExistingRDD" in plans[1]
+    assert not any("hashpartitioning(ticket_id" in plan for plan in plans)
+    assert all("hashpartitioning(l_orderkey" in plan for plan in plans)
+    shape = shapes(read_rates(spark), as_day(queries.AS_OF), as_instant(queries.RUN_TS))["tickets"]
+    whole = silver.table_of(shape(star_schema.raw_tickets(spark, star)), "tickets").drop("_loaded_at")
+    assert rows_of(found) == rows_of(queries.presented(whole))
