@@ -1,8 +1,10 @@
 """How often rows are shuffled on their way into a stored table."""
 
 import datetime as dt
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from boxoffice import queries
 from boxoffice.functions.dates import as_day, as_instant
@@ -140,3 +142,21 @@ def test_streamed_lines_are_shuffled_once_for_their_order_and_their_versions(spa
     shape = shapes(read_rates(spark), as_day(queries.AS_OF), as_instant(queries.RUN_TS))["tickets"]
     whole = silver.table_of(shape(star_schema.raw_tickets(spark, star)), "tickets").drop("_loaded_at")
     assert rows_of(found) == rows_of(queries.presented(whole))
+
+
+def test_what_was_shuffled_for_a_table_does_not_stay_on_disk(spark, tmp_path):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = [files.apply(i).getName() for i in range(files.size())]
+        return {name for name in names if name.startswith("shuffle_")}
+
+    before = shuffled()
+    rows = spark.range(20_000).groupBy((F.col("id") % 5000).alias("k")).count()
+    store = LayerStore(spark, str(tmp_path))
+    store.replace(rows, "gold", "t", cluster_by=["k"])
+    made = shuffled() - before
+    store.replace(spark.range(9), "gold", "u")  # what the last write still holds goes with the next one
+    until = time.time() + 20
+    while made & shuffled() and time.time() < until:
+        time.sleep(0.2)
+    assert not made & shuffled()
